@@ -6,6 +6,7 @@ import importlib
 
 PLAN_MODULES = (
     "summary_plans",
+    "feature_plans",
 )
 
 
