@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     # Embedding / vector blocks travel as Arrow batches of bounded size.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
