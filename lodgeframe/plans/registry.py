@@ -7,6 +7,7 @@ import importlib
 PLAN_MODULES = (
     "summary_plans",
     "feature_plans",
+    "eval_plans",
 )
 
 
