@@ -8,6 +8,7 @@ PLAN_MODULES = (
     "summary_plans",
     "feature_plans",
     "eval_plans",
+    "ml_plans",
 )
 
 
