@@ -9,6 +9,7 @@ PLAN_MODULES = (
     "feature_plans",
     "eval_plans",
     "ml_plans",
+    "vector_plans",
 )
 
 
