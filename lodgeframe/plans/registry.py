@@ -10,6 +10,7 @@ PLAN_MODULES = (
     "eval_plans",
     "ml_plans",
     "vector_plans",
+    "io_plans",
 )
 
 
