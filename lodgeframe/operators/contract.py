@@ -148,19 +148,20 @@ def _violations_expr(payload: Column, rules, forbidden, forbid_extra: bool) -> C
     """
     def checks(s):
         pv, keys = s["pv"], s["keys"]
-        out = [F.when(pv.isNull(), F.lit("parse:payload"))]
+        out = []
         for rule in rules:
             out += _rule_violations(pv, keys, rule)
         base = F.filter(F.array(*out), lambda x: x.isNotNull())
+        unparsable = F.array(F.lit("parse:payload"))
         if not forbid_extra:
-            return F.array_sort(base)
+            return F.when(pv.isNull(), unparsable).otherwise(F.array_sort(base))
         expected = F.array(*[F.lit(r.name) for r in rules])
         forb = F.array(*[F.lit(f) for f in forbidden])
         extra = F.filter(keys, lambda x: ~F.array_contains(expected, x))
         tagged = F.transform(extra, lambda x: F.when(F.array_contains(forb, x),
                                                      F.concat(F.lit("forbidden:"), x))
                              .otherwise(F.concat(F.lit("unknown:"), x)))
-        return F.array_sort(F.array_union(base, tagged))
+        return F.when(pv.isNull(), unparsable).otherwise(F.array_sort(F.array_union(base, tagged)))
 
     bound = F.struct(F.try_parse_json(payload).alias("pv"),
                      F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>")).alias("keys"))
