@@ -72,7 +72,7 @@ def q_run_artifacts(spark, sf_dir):
 
 
 def q_scan_json(spark, sf_dir):
-    """SC4: re-index input written as a multi-line JSON list and read back."""
+    """SC4: re-index input written as JSON lines and read back with the corpus schema."""
     from .vector_plans import reindex_input
     inp = reindex_input(spark, sf_dir).drop("id")
     path = scratch_path(spark, "corpus_json")
@@ -81,6 +81,26 @@ def q_scan_json(spark, sf_dir):
         "primary", "lang", "source", "timestamp", F.length("text").alias("text_chars"))
 
 
+def q_scan_sidecar(spark, sf_dir):
+    """SC5: a JSON sidecar read with its schema; an absent sidecar gives an empty frame."""
+    ctx = _Ctx(spark, sf_dir)
+    meta = R.dataset_metadata(ctx.features(), ctx.window)
+    path = scratch_path(spark, "sidecar_json")
+    K.write_json_rows(meta, path)
+    present = K.read_json_sidecar(spark, path, meta.schema)
+    absent = K.read_json_sidecar(spark, path + "_absent", meta.schema)
+    return present.unionByName(absent).select("dataset_version", "cutoff_date",
+                                              F.size("model_input_columns").alias("n_inputs"))
+
+
+def q_require_columns(spark, sf_dir):
+    """PF1: required-column check of the flat listings extract (schema only)."""
+    from ..operators.summary import LISTINGS_REQUIRED
+    cols = set(StandIn(spark, sf_dir).listings_flat().columns)
+    return spark.createDataFrame([(c, c in cols) for c in sorted(LISTINGS_REQUIRED)],
+                                 "column string, present boolean")
+
+
 def q_file_manifest(spark, sf_dir):
     """VA10: sha256 of every data file of the directory."""
     return FS.file_manifest(spark, sf_dir, "*.parquet")
@@ -117,6 +137,8 @@ QUERIES = {
     "pii_audit": q_pii_audit,
     "run_artifacts": q_run_artifacts,
     "scan_json": q_scan_json,
+    "scan_sidecar": q_scan_sidecar,
+    "require_columns": q_require_columns,
     "file_manifest": q_file_manifest,
     "manifest_verify": q_manifest_verify,
     "stream_daily_counts": q_stream_daily_counts,

@@ -179,6 +179,63 @@ def q_repro_check(spark, sf_dir):
         "reproducible", F.col("differences") == 0)
 
 
+def q_feature_lists(spark, sf_dir):
+    """ML1/PF14: clean vs leaky model-input lists from the feature schema."""
+    df = _labelled(spark, sf_dir)
+    clean = ML.clean_feature_columns(df)
+    leaky = ML.clean_feature_columns(df, leaky=True)
+    num, cat = ML.split_column_types(df, leaky)
+    rows = [(c, c in clean, True, "numeric" if c in num else "categorical") for c in leaky]
+    return spark.createDataFrame(rows, "column string, in_clean boolean, in_leaky boolean, kind string")
+
+
+def q_class_weights_features(spark, sf_dir):
+    """ML9 on the training split of the feature set."""
+    sp = _split(spark, sf_dir)
+    return EV.class_weights(sp.where(F.col("split") == "train"), LABEL)
+
+
+def q_experiment_runs(spark, sf_dir):
+    """ML8-ML17 + WS5: train the run variants, log them in a runs table, pick the best.
+
+    Runs: leaky logreg, dummy, clean logreg, balanced logreg, threshold
+    sweep of the balanced model (scores do not depend on the threshold, so
+    the model is fitted once), random forest.
+    """
+    data = _labelled(spark, sf_dir)
+    rows = []
+
+    def log(name, scored, leaky, threshold=0.5, params=None):
+        m = EV.binary_metrics(scored, LABEL, "score", threshold).first()
+        auc = EV.roc_auc(scored, LABEL, "score").first()["roc_auc"]
+        rows.append((name, {"accuracy": m["accuracy"], "precision": m["precision"],
+                            "recall": m["recall"], "f1": m["f1"], "roc_auc": auc},
+                     {k: str(v) for k, v in (params or {}).items()},
+                     {"uses_leakage": str(leaky).lower()}))
+
+    _, _, s0 = ML.train_and_score(data, LABEL, KEY, "logreg", False, leaky=True)
+    log("v0_leaky_logistic_regression", s0, True, params={"max_iter": ML.LOGREG_MAX_ITER})
+    sp = ML.stratified_split(data, LABEL, KEY)
+    tr, te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    log("v1_dummy_baseline", EV.dummy_scores(te, tr, LABEL, KEY), False, params={"strategy": "most_frequent"})
+    _, _, s2 = ML.train_and_score(data, LABEL, KEY, "logreg", False)
+    log("v2_clean_logistic_regression", s2, False, params={"max_iter": ML.LOGREG_MAX_ITER})
+    _, _, s3 = ML.train_and_score(data, LABEL, KEY, "logreg", True)
+    s3 = s3.checkpoint(eager=True)
+    log("v3_balanced_logistic_regression", s3, False, params={"class_weight": "balanced"})
+    for t in EV.SWEEP_THRESHOLDS:
+        log(f"v4_balanced_logistic_threshold_{t:.2f}", s3, False, t, {"threshold": f"{t:.2f}"})
+    _, _, s5 = ML.train_and_score(data, LABEL, KEY, "forest", True)
+    log("v5_random_forest", s5, False, params={"n_estimators": ML.FOREST_TREES,
+                                               "min_samples_leaf": ML.FOREST_MIN_LEAF})
+    runs = spark.createDataFrame(rows, "run_name string, metrics map<string,double>, "
+                                       "params map<string,string>, tags map<string,string>")
+    best = EV.select_best_run(runs).select("run_name").first()
+    best_name = best["run_name"] if best else None
+    return EV.runs_compare(runs).withColumn("selected", F.col("run_name") == F.lit(best_name))
+
+
+
 QUERIES = {
     "stratified_split": q_stratified_split,
     "impute_median": q_impute_median,
@@ -195,6 +252,9 @@ QUERIES = {
     "query_bounds": q_query_bounds,
     "score_batch": q_score_batch,
     "repro_check": q_repro_check,
+    "feature_lists": q_feature_lists,
+    "class_weights_features": q_class_weights_features,
+    "experiment_runs": q_experiment_runs,
 }
 
 # ---------------------------------------------------------------------------------------
@@ -311,6 +371,12 @@ ORACLES = {
     "contract_split_w3": _fs(f"""
         SELECT listing_id, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, ';') AS violations
         FROM (SELECT listing_id, list_sort({_w3_expected_sql()}) AS v FROM feat) t"""),
+    "class_weights_features": _fs("""
+        SELECT high_demand_proxy, count(*) AS n_c,
+               CAST((SELECT count(*) FROM fsplit WHERE split = 'train') AS DOUBLE)
+                 / (CAST((SELECT count(DISTINCT high_demand_proxy) FROM fsplit WHERE split = 'train') AS DOUBLE)
+                    * CAST(count(*) AS DOUBLE)) AS weight
+        FROM fsplit WHERE split = 'train' GROUP BY high_demand_proxy""", (_SPLIT,)),
     "valid_scoring_sample": _fs("SELECT listing_id FROM viol WHERE len(v) = 0 ORDER BY listing_id LIMIT 100",
                                 (_VIOL,)),
     "query_bounds": """
