@@ -26,7 +26,6 @@ Approximate top-k (VS2)
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
@@ -42,48 +41,52 @@ QUERY_BLOCK_BYTES = 64 * 1024 * 1024   # broadcast budget per query block
 
 # -- encoder ---------------------------------------------------------------------------------
 
+# Fixed values of the hashed-token encoder.
+TOKEN_PATTERN = r"(?U)\w+|[^\w\s]"       # word runs (any script) or single symbols
+SUB_HASH_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+
+
 class HashedTokenEncoder:
     """Deterministic text -> unit vector encoder (stand-in for the transformer).
 
-    Tokens are lower-cased word runs (any script) and single non-space
-    symbols; each token adds +/-1 at ``hashes`` positions chosen by
-    xxhash64; the vector is the mean over tokens, L2-normalised.  Text
-    without tokens maps to a fixed special-token vector (unit norm).
+    Tokenisation and the 64-bit token hash run in the JVM
+    (``regexp_extract_all`` + ``xxhash64``); this class only pools the hash
+    arrays of an Arrow batch with numpy: every token adds +/-1 at
+    ``len(SUB_HASH_MULTIPLIERS)`` positions derived from its hash, the row
+    vector is the mean over tokens (``sum / max(count, 1e-9)``) and is
+    L2-normalised; token-less text gets a fixed special-token vector.
     """
 
-    TOKEN = re.compile(r"\w+|[^\w\s]", re.UNICODE)
-
-    def __init__(self, dim: int = DEFAULT_DIM, hashes: int = 4, max_tokens: int | None = None,
-                 seed: int = 42):
-        self.dim, self.hashes, self.max_tokens, self.seed = dim, hashes, max_tokens, seed
+    def __init__(self, dim: int = DEFAULT_DIM):
         import numpy as np
+        self.dim = dim
         special = np.zeros(dim, dtype=np.float64)
         special[0] = special[dim - 1] = 1.0
         self.special = (special / np.linalg.norm(special)).astype(np.float32)
+        self.mult = np.array(SUB_HASH_MULTIPLIERS, dtype=np.uint64)
 
-    def encode(self, texts) -> "list":
+    def pool(self, hash_lists) -> "list":
         import numpy as np
-        import xxhash
-        out = np.zeros((len(texts), self.dim), dtype=np.float64)
-        for i, t in enumerate(texts):
-            toks = self.TOKEN.findall(t.lower()) if isinstance(t, str) else []
-            if self.max_tokens is not None:
-                toks = toks[: self.max_tokens]
-            if not toks:
-                continue
-            row = out[i]
-            for tok in toks:
-                b = tok.encode("utf-8")
-                for h in range(self.hashes):
-                    v = xxhash.xxh64_intdigest(b, seed=self.seed + h)
-                    row[v % self.dim] += 1.0 if (v >> 63) & 1 else -1.0
-            row /= max(len(toks), 1e-9)
+        n = len(hash_lists)
+        lens = np.fromiter((0 if h is None else len(h) for h in hash_lists), dtype=np.int64, count=n)
+        out = np.zeros((n, self.dim), dtype=np.float64)
+        if lens.sum():
+            flat = np.concatenate([np.asarray(h, dtype=np.int64) for h in hash_lists
+                                   if h is not None and len(h)]).view(np.uint64)
+            rows = np.repeat(np.arange(n), lens)
+            mixed = flat ^ (flat >> np.uint64(33))
+            for m in self.mult:
+                v = mixed * m                                    # wraps mod 2^64
+                pos = ((v >> np.uint64(20)) % np.uint64(self.dim)).astype(np.int64)
+                sign = np.where((v >> np.uint64(63)) == 1, 1.0, -1.0)
+                np.add.at(out, (rows, pos), sign)
+            out /= np.maximum(lens, 1e-9)[:, None]
         norms = np.linalg.norm(out, axis=1)
-        res = np.empty((len(texts), self.dim), dtype=np.float32)
+        res = np.empty((n, self.dim), dtype=np.float32)
         ok = norms > NORM_EPS
         res[ok] = (out[ok] / norms[ok, None]).astype(np.float32)
         res[~ok] = self.special
-        return res
+        return list(res)
 
 
 _ENCODERS: dict = {}
@@ -96,19 +99,44 @@ def _encoder(factory, key):
     return _ENCODERS[key]
 
 
+def token_hashes(text, max_tokens: int | None = None):
+    """JVM-side tokenisation + xxhash64 per token -> array<bigint> (whole text)."""
+    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), 0)
+    if max_tokens is not None:
+        toks = F.slice(toks, 1, max_tokens)
+    return F.transform(toks, lambda t: F.xxhash64(t))
+
+
 def embed(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
           dim: int = DEFAULT_DIM, encoder_factory=None, max_tokens: int | None = None) -> DataFrame:
-    """EM1: add ``out_col array<float>`` (unit norm) computed from ``text_col``."""
-    factory = encoder_factory or (lambda: HashedTokenEncoder(dim=dim, max_tokens=max_tokens))
-    key = (id(encoder_factory), dim, max_tokens)
+    """EM1: add ``out_col array<float>`` (unit norm) computed from ``text_col``.
+
+    Default: the hashed-token encoder (tokens/hashes in the JVM, pooling in
+    numpy per Arrow batch).  ``encoder_factory`` plugs in any model object
+    with ``encode(list[str]) -> (n, dim) array``; it is constructed once per
+    Python worker and fed whole Arrow batches of texts.
+    """
     schema = T.StructType(list(df.schema.fields) +
                           [T.StructField(out_col, T.ArrayType(T.FloatType(), False), False)])
+    if encoder_factory is None:
+        key = ("hashed", dim)
+        tmp = "_tok_hashes"
+        staged = df.withColumn(tmp, token_hashes(F.col(text_col), max_tokens))
+
+        def run_hashed(batches):
+            enc = _encoder(lambda: HashedTokenEncoder(dim), key)
+            for pdf in batches:
+                pdf[out_col] = enc.pool(pdf[tmp].tolist()) if len(pdf) else []
+                yield pdf.drop(columns=[tmp])
+
+        return staged.mapInPandas(run_hashed, schema)
+
+    key = (id(encoder_factory), dim)
 
     def run(batches):
-        enc = _encoder(factory, key)
+        enc = _encoder(encoder_factory, key)
         for pdf in batches:
-            vecs = enc.encode(pdf[text_col].tolist()) if len(pdf) else []
-            pdf[out_col] = list(vecs)
+            pdf[out_col] = list(enc.encode(pdf[text_col].tolist())) if len(pdf) else []
             yield pdf
 
     return df.mapInPandas(run, schema)
