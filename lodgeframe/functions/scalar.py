@@ -90,6 +90,13 @@ def l2_normalize(a, eps: float = NORM_EPS) -> Column:
     return F.transform(_c(a), lambda v: v.cast("double") / n)
 
 
+def sort_small(df, *cols):
+    """Total order for a result whose size is bounded by a fixed dimension
+    (neighbourhoods, thresholds, columns): one task sorts it, instead of a
+    range-partitioning exchange with its sampling job."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
+
+
 def sanitize_run_name(x) -> Column:
     """Run names as file-safe names: anything but letters, digits, ``._-`` -> ``_``."""
     return F.regexp_replace(_c(x), r"[^\p{L}\p{N}._-]", "_")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import sigmoid  # noqa: F401  (re-exported for callers)
+from ..functions.scalar import sigmoid, sort_small  # noqa: F401
 from .ranking import exclusive_prefix_sums
 
 # The sweep grid and the serving threshold of the source.
@@ -83,8 +83,8 @@ def threshold_sweep(scored: DataFrame, thresholds=SWEEP_THRESHOLDS, label: str =
         tn, fp, fn, tp = (F.col(f"{k}_{i}") for k in ("tn", "fp", "fn", "tp"))
         rows.append(F.struct(F.lit(float(t)).alias("threshold"), tn.alias("tn"), fp.alias("fp"),
                              fn.alias("fn"), tp.alias("tp"), *_metrics_from_counts(tn, fp, fn, tp)))
-    return (one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-               .orderBy(F.desc("f1"), F.asc("threshold")))
+    return sort_small(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"),
+                      F.desc("f1"), F.asc("threshold"))
 
 
 def classification_report(scored: DataFrame, label: str = "label", score: str = "score",

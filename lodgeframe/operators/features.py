@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import (coerce_boolean, coerce_numeric, exact_avg, parse_bathrooms,
-                                round_half_up)
+                                round_half_up, sort_small)
 
 # Fixed values of the feature contract.
 PAST_WINDOW_DAYS = 90
@@ -188,6 +188,50 @@ def future_label(calendar: DataFrame, window: CutoffWindow,
     return g.withColumn(TARGET, (F.col("future_available_rate_30d") <= F.lit(threshold)).cast("int"))
 
 
+def calendar_features_and_label(calendar: DataFrame, window: CutoffWindow,
+                                windows=HISTORY_WINDOWS,
+                                threshold: float = HIGH_DEMAND_AVAILABLE_RATE_THRESHOLD) -> DataFrame:
+    """FE4 + FE5 fused: ONE calendar scan over ``[history_start, label_end]``.
+
+    Returns one row per listing that has label-window days (the label is an
+    inner join), with the history measures set to null when the listing has
+    no day in ``[history_start, cutoff]`` -- exactly the result of the
+    separate left-joined history aggregate.
+    """
+    cut = F.lit(window.cutoff_date)
+    c = calendar.where((F.col("date") >= F.lit(window.history_start_date)) &
+                       (F.col("date") <= F.lit(window.label_end_date)))
+    hist = (F.col("date") <= cut)
+    fut = (F.col("date") > cut)
+    aggs = [F.count(F.when(hist, F.lit(1))).alias("_hist_rows")]
+    names = []
+    for w in windows:
+        inw = (F.col("date") > F.date_sub(cut, w)) & hist
+        aggs += [
+            F.count(F.when(inw, F.lit(1))).alias(f"calendar_days_observed_last_{w}d"),
+            F.count(F.when(inw & (F.col("available") == F.lit(True)), F.lit(1)))
+             .alias(f"available_days_last_{w}d"),
+            exact_avg(F.when(inw, _avail_int())).alias(f"available_rate_last_{w}d"),
+            exact_avg(F.when(inw, F.col("minimum_nights"))).alias(f"avg_minimum_nights_calendar_last_{w}d"),
+            exact_avg(F.when(inw, F.col("maximum_nights"))).alias(f"avg_maximum_nights_calendar_last_{w}d"),
+        ]
+        names += [f"calendar_days_observed_last_{w}d", f"available_days_last_{w}d",
+                  f"available_rate_last_{w}d", f"avg_minimum_nights_calendar_last_{w}d",
+                  f"avg_maximum_nights_calendar_last_{w}d"]
+    aggs += [
+        F.count(F.when(fut, F.lit(1))).alias("future_calendar_days_observed_30d"),
+        F.count(F.when(fut & (F.col("available") == F.lit(True)), F.lit(1))).alias("future_available_days_30d"),
+        exact_avg(F.when(fut, _avail_int())).alias("future_available_rate_30d"),
+    ]
+    g = c.groupBy("listing_id").agg(*aggs).where(F.col("future_calendar_days_observed_30d") > 0)
+    has_hist = F.col("_hist_rows") > 0
+    return g.select(
+        "listing_id",
+        *[F.when(has_hist, F.col(n)).alias(n) for n in names],
+        "future_calendar_days_observed_30d", "future_available_days_30d", "future_available_rate_30d",
+        (F.col("future_available_rate_30d") <= F.lit(threshold)).cast("int").alias(TARGET))
+
+
 def label_distribution(label: DataFrame) -> DataFrame:
     """AG13: value counts of the target incl. null, share rounded to 4."""
     g = label.groupBy(TARGET).agg(F.count(F.lit(1)).alias("count"))
@@ -220,13 +264,19 @@ def assemble_features(static: DataFrame, reviews: DataFrame, calendar_feats: Dat
 def build_feature_set(listing, host, neighbourhood, review, calendar,
                       window: CutoffWindow | None = None,
                       dataset_version: str = DATASET_VERSION) -> DataFrame:
-    """FE1-FE6 up to the assembled (pre-drop) table."""
+    """FE1-FE6 up to the assembled (pre-drop) table.
+
+    Same rows as ``assemble_features`` over the four separate parts, with
+    the calendar read once for history and label (fused aggregate).
+    """
     window = window or resolve_window(calendar)
-    return assemble_features(
-        static_features(listing, host, neighbourhood),
-        review_features(review, window.cutoff_date),
-        calendar_features(calendar, window),
-        future_label(calendar, window), window, dataset_version)
+    cal = calendar_features_and_label(calendar, window)
+    j = (static_features(listing, host, neighbourhood)
+         .join(review_features(review, window.cutoff_date), "listing_id", "left")
+         .join(cal, "listing_id", "inner"))
+    j = (j.withColumn("cutoff_date", F.lit(window.cutoff_date.isoformat()))
+          .withColumn("dataset_version", F.lit(dataset_version)))
+    return fill_review_defaults(j)
 
 
 # -- profile, drop, reports ---------------------------------------------------------------
@@ -284,8 +334,8 @@ def drop_unusable_columns(df: DataFrame, protected=PROTECTED_COLUMNS,
 
 def missing_report(df: DataFrame) -> DataFrame:
     """AG14: missing rate per column, highest first, ties by name."""
-    return column_profile(df).select("column", "missing_rate").orderBy(
-        F.desc("missing_rate"), F.asc("column"))
+    return sort_small(column_profile(df).select("column", "missing_rate"),
+                      F.desc("missing_rate"), F.asc("column"))
 
 
 def describe_column(df: DataFrame, c: str) -> DataFrame:

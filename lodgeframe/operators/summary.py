@@ -10,9 +10,10 @@ Scale notes
   not a cross join.
 * The per-listing children are unique per key, so the left joins cannot
   fan out; the neighbourhood dimension is fixed-size and broadcast.
-* The exact median is a per-group sort aggregate over listings (one row
-  per listing, tens of groups) -- bounded by the listing table, not the
-  calendar.
+* The exact median is Spark's ``percentile`` aggregate: its buffer is a
+  value -> count map, and prices carry cents, so a group's buffer is
+  bounded by the price range x 100 distinct values, not by the number of
+  listings.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import exact_avg, pseudonymize, round_half_up
+from ..functions.scalar import exact_avg, pseudonymize, round_half_up, sort_small
 
 SUMMARY_COLUMNS = ["neighbourhood", "num_listings", "avg_price", "median_price",
                    "avg_minimum_nights", "total_reviews", "reviews_per_listing",
@@ -115,7 +116,7 @@ def neighbourhood_summary(listing: DataFrame, neighbourhood: DataFrame,
         neighbourhood)
     j = (base.join(rates, "listing_id", "left")
              .join(rc, "listing_id", "left"))
-    return (j.groupBy("neighbourhood").agg(
+    out = j.groupBy("neighbourhood").agg(
         F.count(F.lit(1)).alias("num_listings"),
         round_half_up(exact_avg("listing_price"), 2).alias("avg_price"),
         round_half_up(F.percentile(F.col("listing_price").cast("double"), F.lit(0.5)), 2)
@@ -125,8 +126,9 @@ def neighbourhood_summary(listing: DataFrame, neighbourhood: DataFrame,
         round_half_up(exact_avg(F.coalesce(F.col("total_reviews"), F.lit(0))), 2)
         .alias("reviews_per_listing"),
         round_half_up(F.avg("availability_30_rate"), 4).alias("availability_30_rate"),
-        round_half_up(F.avg("availability_365_rate"), 4).alias("availability_365_rate"),
-    ).orderBy(F.desc("num_listings"), F.asc("neighbourhood")))
+        round_half_up(F.avg("availability_365_rate"), 4).alias("availability_365_rate"))
+    # one row per neighbourhood name: a bounded result
+    return sort_small(out, F.desc("num_listings"), F.asc("neighbourhood"))
 
 
 def median_price(listing: DataFrame, neighbourhood: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import warehouse as WH
 from .tables import Tables
 
 MONEY = "decimal(12,2)"
@@ -26,15 +27,41 @@ def _mod(col: str, n: int) -> Column:
 
 
 class StandIn:
-    """Lazily derived relational views over one data directory."""
+    """Relational views over one data directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Each view is derived from the raw tables (``_derive_<name>``).  With the
+    warehouse enabled (session conf ``lodgeframe.warehouse.enabled``, on by
+    default) the derived rows are written once in a query-friendly layout
+    and later reads scan the stored table; otherwise the derivation is
+    inlined lazily into every query.
+    """
+
+    STORED = tuple(WH.LAYOUT)
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.raw = Tables(spark, sf_dir)
+        self.materialized = WH.enabled(spark) if materialized is None else materialized
+        self._root = None
+
+    def _view(self, name: str) -> DataFrame:
+        derived = getattr(self, f"_derive_{name}")()
+        if not self.materialized or name not in self.STORED:
+            return derived
+        if self._root is None:
+            self._root = WH.warehouse_root(self.spark, self.sf_dir)
+        path = WH.materialize_view(self.spark, derived, f"{self._root}/{name}", name)
+        return self.spark.read.parquet(path)
+
+    def __getattr__(self, name: str):
+        # public view accessors: listing(), calendar_day(), ...
+        if name.startswith("_") or not hasattr(type(self), f"_derive_{name}"):
+            raise AttributeError(name)
+        return lambda: self._view(name)
 
     # -- listing database ------------------------------------------------
-    def listing(self) -> DataFrame:
+    def _derive_listing(self) -> DataFrame:
         c = self.raw.customer
         key = "c_custkey"
         bath = (F.when(_mod(key, 8) == 0, F.lit("1 bath"))
@@ -67,12 +94,12 @@ class StandIn:
             F.concat(F.lit("LIC-"), F.col(key).cast("string")).alias("license"),
         )
 
-    def neighbourhood(self) -> DataFrame:
+    def _derive_neighbourhood(self) -> DataFrame:
         return self.raw.nation.select(
             F.col("n_nationkey").alias("neighbourhood_id"),
             F.col("n_name").alias("name"))
 
-    def segment(self) -> DataFrame:
+    def _derive_segment(self) -> DataFrame:
         """Neighbourhood segments; region 4 is left out on purpose."""
         n = self.raw.nation
         r = self.raw.region.where(F.col("r_regionkey") != 4)
@@ -84,14 +111,14 @@ class StandIn:
                         F.lower(F.col("r_name")).alias("tourism_segment"),
                         prio.alias("priority_level")))
 
-    def host(self) -> DataFrame:
+    def _derive_host(self) -> DataFrame:
         s = self.raw.supplier.where(F.col("s_suppkey") % 6 != 5)
         return s.select(
             F.col("s_suppkey").alias("host_id"),
             F.col("s_name").alias("host_pseudo_id"),
             (F.col("s_acctbal") > 5000).alias("is_superhost"))
 
-    def review(self) -> DataFrame:
+    def _derive_review(self) -> DataFrame:
         o = self.raw.orders.where(F.col("o_orderstatus") == "F")
         return o.select(
             F.col("o_orderkey").alias("review_id"),
@@ -102,7 +129,7 @@ class StandIn:
             F.floor(F.col("o_totalprice") / 1000).cast("int").alias("comment_len"),
         )
 
-    def calendar_day(self) -> DataFrame:
+    def _derive_calendar_day(self) -> DataFrame:
         li = self.raw.lineitem
         o = self.raw.orders.select("o_orderkey", "o_custkey")
         j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
@@ -122,7 +149,7 @@ class StandIn:
         )
 
     # -- W1 flat listings file (CSV-shaped) ---------------------------------
-    def listings_flat(self) -> DataFrame:
+    def _derive_listings_flat(self) -> DataFrame:
         """The flat listings extract the CLI summary consumes."""
         c = self.raw.customer
         n = self.raw.nation
@@ -139,7 +166,7 @@ class StandIn:
         )
 
     # -- text / vectors -------------------------------------------------------
-    def corpus(self) -> DataFrame:
+    def _derive_corpus(self) -> DataFrame:
         d = self.raw.documents
         lab = self.raw.labels
         j = d.join(lab, d.doc_id == lab.doc_id, "left")
@@ -153,7 +180,7 @@ class StandIn:
             d.doc_id.alias("id"), d.text, primary.alias("primary_label"),
             labels.alias("labels"), d.lang, d.source)
 
-    def vectors(self) -> DataFrame:
+    def _derive_vectors(self) -> DataFrame:
         e = self.raw.embeddings
         return e.select(
             F.col("vec_id").alias("id"),
@@ -163,7 +190,7 @@ class StandIn:
             F.when(F.col("vec_id") % 4 == 3, F.lit("fr")).otherwise(F.lit("en")).alias("lang"),
         )
 
-    def scores(self) -> DataFrame:
+    def _derive_scores(self) -> DataFrame:
         """Model scores stand-in: one scored row per event."""
         e = self.raw.events
         return e.select(
