@@ -37,9 +37,17 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def rank_within_groups(df: DataFrame, groups, order, n_partitions: int | None = None,
-                       rank_col: str = "rank") -> DataFrame:
-    """Add a 1-based ``rank_col``: position of the row within its group by ``order``."""
+                       rank_col: str = "rank", split_ties: bool = True) -> DataFrame:
+    """Add a 1-based ``rank_col``: position of the row within its group by ``order``.
+
+    ``split_ties`` appends a unique row id to the sort key, so even one
+    value repeated across a third of the table is spread over many range
+    partitions (ranks among equal values are arbitrary anyway).
+    """
     groups, order = list(groups), list(order)
+    if split_ties:
+        df = df.withColumn("_tb", F.monotonically_increasing_id())
+        order = order + ["_tb"]
     keys = groups + order
     p = _partitions(df, n_partitions)
     ensure_checkpoint_dir(df.sparkSession)
@@ -53,7 +61,7 @@ def rank_within_groups(df: DataFrame, groups, order, n_partitions: int | None =
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     out = r.join(stats.select("_pid", *groups, "_first", "_before"), ["_pid", *groups], "inner")
     return out.withColumn(rank_col, F.col("_mid") - F.col("_first") + F.col("_before") + 1) \
-              .drop("_pid", "_mid", "_first", "_before")
+              .drop("_pid", "_mid", "_first", "_before", "_tb")
 
 
 def exclusive_prefix_sums(df: DataFrame, groups, order, weights, n_partitions: int | None = None,

@@ -186,10 +186,16 @@ def q_payload_defaults(spark, sf_dir):
 
 
 def q_reindex_upsert(spark, sf_dir):
+    """SK8: an index table, then an upsert of updated + new points (bucketed, incremental)."""
+    from ..operators.sinks import read_upserted, upsert_table
+    from ..session import scratch_path
     old = _vectors(spark, sf_dir).select("id", "primary_label", "lang")
+    path = scratch_path(spark, "upsert_index")
+    upsert_table(spark, old, path)
     upd = old.where(F.col("id") % 4 == 0).withColumn("primary_label", F.lit("updated"))
     ins = old.where(F.col("id") % 4 == 1).withColumn("id", F.col("id") + 1_000_000)
-    return upsert_by_id(old, upd.unionByName(ins))
+    upsert_table(spark, upd.unionByName(ins), path)
+    return read_upserted(spark, path).select("id", "primary_label", "lang")
 
 
 def q_embed_documents(spark, sf_dir):
@@ -213,12 +219,13 @@ def q_embed_edge_cases(spark, sf_dir):
 
 def q_reindex(spark, sf_dir):
     """VS5: since filter -> embed -> payload defaults -> upsert into the index table."""
+    from ..operators.sinks import read_upserted, upsert_table
     from ..session import scratch_path
     inp = since_filter(reindex_input(spark, sf_dir), REINDEX_SINCE)
     pts = payload_defaults(V.embed(inp, "text"))
     path = scratch_path(spark, "vector_index")
-    pts.write.mode("overwrite").parquet(path)
-    index = spark.read.parquet(path)
+    upsert_table(spark, pts, path)
+    index = read_upserted(spark, path)
     return index.groupBy("lang").agg(F.count(F.lit(1)).alias("points"))
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import vectors as V
-from ..session import path_exists, scratch_path
+from ..operators.sinks import read_upserted, upsert_table
+from ..session import scratch_path
 
 
 def _file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int):
@@ -71,18 +72,10 @@ def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str
     emb = V.embed(src.select(F.col(key).alias("id"), text_col, "lang", "source"), text_col)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        new = batch.select("id", "lang", "source", "embedding")
-        if path_exists(spark, index_path):
-            old = spark.read.parquet(index_path)
-            merged = new.unionByName(old.join(new.select("id"), "id", "left_anti"))
-            # write the merged version next to the old one, then swap the pointer file
-            tmp = f"{index_path}__v{epoch}"
-            merged.write.mode("overwrite").parquet(tmp)
-            spark.read.parquet(tmp).write.mode("overwrite").parquet(index_path)
-        else:
-            new.write.mode("overwrite").parquet(index_path)
+        # only the hash buckets touched by this micro-batch are rewritten
+        upsert_table(spark, batch.select("id", "lang", "source", "embedding"), index_path)
 
     q = (emb.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(index_path)
+    return read_upserted(spark, index_path)
