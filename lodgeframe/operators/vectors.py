@@ -262,7 +262,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str =
 
 def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str = "qid",
             qvec: str = "embedding", cid: str = "id", cvec: str = "embedding",
-            min_cos: float = 0.0, bucket_length: float = 1.0, num_tables: int = 8,
+            min_cos: float = 0.2, bucket_length: float = 0.1, num_tables: int = 12,
             seed: int = 42, exclude_self: bool = False) -> DataFrame:
     """VS2: approximate top-k via LSH candidates + exact cosine re-rank."""
     dist = math.sqrt(max(0.0, 2.0 - 2.0 * min_cos))
