@@ -200,7 +200,7 @@ def q_reindex_upsert(spark, sf_dir):
 
 def q_embed_documents(spark, sf_dir):
     """EM1: embed the whole corpus text; report shape/norm checks per language."""
-    docs = StandIn(spark, sf_dir).raw.documents.select("doc_id", "text", "lang")
+    docs = StandIn(spark, sf_dir).corpus().select(F.col("id").alias("doc_id"), "text", "lang")
     e = V.embed(docs, "text", dim=V.DEFAULT_DIM)
     return e.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"),

@@ -10,6 +10,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small post-shuffle partitions keep CPU-heavy narrow stages (contract
+    # checks, vector blocks) parallel when a shuffle's output is small
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Embedding / vector blocks travel as Arrow batches of bounded size.

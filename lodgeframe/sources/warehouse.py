@@ -41,6 +41,7 @@ LAYOUT = {
     "scores": (None, 500_000),
 }
 CONF_KEY = "lodgeframe.warehouse.enabled"
+LAYOUT_VERSION = 2          # part of the location: a new layout never reads an old copy
 
 
 def enabled(spark: SparkSession) -> bool:
@@ -50,7 +51,7 @@ def enabled(spark: SparkSession) -> bool:
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = [sf_dir.rstrip("/")]
+    parts = [f"layout{LAYOUT_VERSION}", sf_dir.rstrip("/")]
     for t in TABLES:
         p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
         fs = p.getFileSystem(conf)
@@ -71,8 +72,10 @@ def materialize_view(spark: SparkSession, view: DataFrame, path: str, name: str)
         return path
     date_col, rows_per_file = LAYOUT.get(name, (None, 500_000))
     n = view.count()
-    files = max(1, min(512, -(-n // rows_per_file)))
-    files = max(files, int(spark.sparkContext.defaultParallelism)) if n > 50_000 else files
+    # enough files for the target file size, and at least one per core
+    # (never files of fewer than ~1000 rows) so the scans run in parallel
+    par = int(spark.sparkContext.defaultParallelism)
+    files = max(1, min(4096, max(-(-n // rows_per_file), min(par, n // 1000))))
     if date_col:
         out = view.repartitionByRange(files, date_col).sortWithinPartitions(date_col)
     else:
