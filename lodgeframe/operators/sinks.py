@@ -58,22 +58,52 @@ def read_json_sidecar(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def publish_by_rename(spark: SparkSession, staged_path: str, table_path: str) -> None:
+    """Swap a validated staging folder into place with metadata operations.
+
+    The previous version is moved aside first and removed only after the
+    new one is in place, so a failure mid-swap leaves either the old or the
+    new table (recoverable from ``<table>__previous``), never a partial one.
+    No data is copied.
+    """
+    fs, dst = _fs(spark, table_path)
+    _, src = _fs(spark, staged_path)
+    _, old = _fs(spark, f"{table_path}__previous")
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(dst) and not fs.rename(dst, old):
+        raise OSError(f"could not move {table_path} aside")
+    if not fs.rename(src, dst):
+        if fs.exists(old):
+            fs.rename(old, dst)
+        raise OSError(f"could not publish {staged_path} as {table_path}")
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
 def refresh_summary(spark: SparkSession, summary: DataFrame, table_path: str | None = None):
     """SK7 + VA2 + VA3: stage -> validate the staged copy -> swap.
 
     The summary is written to a staging folder first; only when the
-    validation row passes is it copied over the published location, so a
-    failing refresh never replaces a good table (the source replaced first
-    and validated after).  Returns ``(published DataFrame, report row)``.
+    validation row passes is it swapped into the published location (a
+    rename, no copy), so a failing refresh never replaces a good table --
+    the source replaced the view first and validated after.  Returns
+    ``(published DataFrame, report row)``.
     """
     table_path = table_path or scratch_path(spark, "neighbourhood_summary")
     stage = f"{table_path}__staging"
     summary.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(summary.schema).parquet(stage)
     report = Q.validate_summary(staged).first()
     Q.gate(report)
-    staged.write.mode("overwrite").parquet(table_path)
-    return spark.read.parquet(table_path), report
+    publish_by_rename(spark, stage, table_path)
+    return spark.read.schema(summary.schema).parquet(table_path), report
 
 
 def refresh_report(report_row, row_count: int, target: str, status: str) -> str:
