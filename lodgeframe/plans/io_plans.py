@@ -145,7 +145,17 @@ QUERIES = {
     "stream_reindex": q_stream_reindex,
 }
 
+_TS = """CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
+              ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id), '%Y-%m-%dT%H:%M:%S') END"""
+
 ORACLES = {
+    "scan_json": f"""
+        SELECT CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 1 THEN 'good'
+                    WHEN l.doc_id IS NOT NULL THEN 'neutral' END AS primary,
+               d.lang, d.source, {_TS.replace('doc_id', 'd.doc_id')} AS timestamp,
+               CAST(length(d.text) AS INTEGER) AS text_chars
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "stream_reindex": "SELECT lang, count(*) AS points FROM documents GROUP BY lang",
     "stream_daily_counts": """
         SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n,
                CAST(round(CAST(sum(value) AS DECIMAL(18,8)), 4) AS DOUBLE) AS total

@@ -377,6 +377,9 @@ ORACLES = {
                  / (CAST((SELECT count(DISTINCT high_demand_proxy) FROM fsplit WHERE split = 'train') AS DOUBLE)
                     * CAST(count(*) AS DOUBLE)) AS weight
         FROM fsplit WHERE split = 'train' GROUP BY high_demand_proxy""", (_SPLIT,)),
+    "repro_check": _fs("""
+        SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differences, true AS reproducible
+        FROM viol WHERE len(v) = 0""", (_VIOL,)),
     "valid_scoring_sample": _fs("SELECT listing_id FROM viol WHERE len(v) = 0 ORDER BY listing_id LIMIT 100",
                                 (_VIOL,)),
     "query_bounds": """

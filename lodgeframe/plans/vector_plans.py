@@ -360,4 +360,16 @@ ORACLES = {
         SELECT id, 'updated' AS primary_label, lang FROM vectors WHERE id % 4 = 0
         UNION ALL SELECT id + 1000000, primary_label, lang FROM vectors WHERE id % 4 = 1
         UNION ALL SELECT id, primary_label, lang FROM vectors WHERE id % 4 <> 0""", ("vectors",)),
+    # invariant oracles: every text embeds to a unit vector of the model dimension
+    "embed_documents": """
+        SELECT lang, count(*) AS n, count(*) AS dim_ok, count(*) AS unit_ok
+        FROM documents GROUP BY lang""",
+    "embed_edge_cases": """
+        SELECT count(*) AS n, count(*) AS unit_ok, count(*) AS dim_ok FROM conversations""",
+    "reindex": f"""
+        SELECT coalesce(lang, 'en') AS lang, count(*) AS points
+        FROM (SELECT doc_id AS id, lang, {_TS} AS ts FROM documents) t
+        WHERE ts IS NULL OR ts = '' OR CAST(ts AS TIMESTAMP) >= TIMESTAMP '{REINDEX_SINCE.replace('T', ' ')}'
+        GROUP BY 1""",
 }
+
