@@ -169,16 +169,25 @@ def _query_blocks(queries: DataFrame, qid: str, qvec: str, dim_hint: int | None,
         yield ranked.where(F.col("_blk") == b).drop("_blk").toPandas()
 
 
-def _topk_partition_fn(qpdf, qid, qvec, k_col, cid, cvec, filters, exclude_self, default_k):
+def _pack_query_block(qpdf, qid, qvec, k_col, filters, default_k):
+    """Driver side: one bounded query block as numpy arrays (to be broadcast)."""
     import numpy as np
-    q_ids = qpdf[qid].to_numpy()
-    Q = np.stack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec]]) if len(qpdf) else np.zeros((0, 1))
+    q_ids = qpdf[qid].to_numpy().astype(np.int64)
+    Q = (np.stack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec]]) if len(qpdf)
+         else np.zeros((0, 1)))
     Q /= np.maximum(np.linalg.norm(Q, axis=1, keepdims=True), NORM_EPS)
     ks = (qpdf[k_col].to_numpy().astype(np.int64) if k_col else np.full(len(qpdf), default_k))
-    kmax = int(ks.max()) if len(ks) else 0
-    qf = {c: qpdf[qc].to_numpy() for c, (qc, _) in filters.items()}
+    qf = {c: qpdf[qc].to_numpy(dtype=object) for c, (qc, _) in filters.items()}
+    return q_ids, Q, ks, qf
+
+
+def _topk_partition_fn(block_bc, cid, cvec, filters, exclude_self):
+    """Executor side: running top-k of one broadcast query block over corpus batches."""
 
     def fn(batches):
+        import numpy as np
+        q_ids, Q, ks, qf = block_bc.value          # fetched once per executor
+        kmax = int(ks.max()) if len(ks) else 0
         best_s = np.full((len(q_ids), kmax), -np.inf)
         best_i = np.full((len(q_ids), kmax), -1, dtype=np.int64)
         for pdf in batches:
@@ -189,13 +198,15 @@ def _topk_partition_fn(qpdf, qid, qvec, k_col, cid, cvec, filters, exclude_self,
             S = Q @ C.T
             ids = pdf[cid].to_numpy().astype(np.int64)
             for c, (_, mode) in filters.items():
-                cv = pdf[c].to_numpy()
+                cv = pdf[c].to_numpy(dtype=object)
                 qv = qf[c]
                 if mode == "eq":      # query value null -> no filter
-                    m = np.array([[True] * len(cv) if (q is None or q != q) else (cv == q) for q in qv])
+                    free = np.array([q is None or q != q for q in qv])
+                    m = free[:, None] | (qv[:, None] == cv[None, :])
                 else:                 # "ne_neutral": drop corpus rows equal to 'neutral' when flag set
                     drop = np.array([x == "neutral" for x in cv])
-                    m = np.array([~drop if bool(q) else np.ones(len(cv), bool) for q in qv])
+                    flag = np.array([bool(q) for q in qv])
+                    m = ~(flag[:, None] & drop[None, :])
                 S = np.where(m, S, -np.inf)
             if exclude_self:
                 S = np.where(q_ids[:, None] == ids[None, :], -np.inf, S)
@@ -244,8 +255,11 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str =
     q = queries.select(*dict.fromkeys(qcols))
     out_schema = "qid long, id long, score double"
     parts = []
+    sc = queries.sparkSession.sparkContext
     for qpdf in _query_blocks(q, qid, qvec, None, budget):
-        fn = _topk_partition_fn(qpdf, qid, qvec, k_col, cid, cvec, filters, exclude_self, k)
+        # the block's size is bounded by `budget`; it travels once per executor
+        bc = sc.broadcast(_pack_query_block(qpdf, qid, qvec, k_col, filters, k))
+        fn = _topk_partition_fn(bc, cid, cvec, filters, exclude_self)
         parts.append(c.mapInPandas(fn, out_schema))
     if not parts:
         return queries.sparkSession.createDataFrame([], out_schema + ", rank int")
