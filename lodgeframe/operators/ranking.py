@@ -30,10 +30,11 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _range_partition(df: DataFrame, n: int | None, keys) -> DataFrame:
+    """Range-partition on ``keys``.  Without an explicit count the shuffle is
+    left to AQE, which merges small neighbouring ranges by data size (merged
+    ranges stay contiguous and in order, which is all the offsets need)."""
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
 def rank_within_groups(df: DataFrame, groups, order, n_partitions: int | None = None,
@@ -49,9 +50,8 @@ def rank_within_groups(df: DataFrame, groups, order, n_partitions: int | None =
         df = df.withColumn("_tb", F.monotonically_increasing_id())
         order = order + ["_tb"]
     keys = groups + order
-    p = _partitions(df, n_partitions)
     ensure_checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+    r = (_range_partition(df, n_partitions, keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
     stats = r.groupBy("_pid", *groups).agg(F.min("_mid").alias("_first"),
@@ -74,9 +74,8 @@ def exclusive_prefix_sums(df: DataFrame, groups, order, weights, n_partitions: i
     """
     groups, order, weights = list(groups), list(order), list(weights)
     keys = groups + order
-    p = _partitions(df, n_partitions)
     ensure_checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+    r = (_range_partition(df, n_partitions, keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
     local_cols = [f"_loc_{w}" for w in weights]
     schema = T.StructType(list(r.schema.fields) +
