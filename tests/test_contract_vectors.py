@@ -1,7 +1,6 @@
 """Contract fixtures, vector-search invariants, embedding rules, files, streams."""
 
 import json
-import os
 
 import numpy as np
 from pyspark.sql import functions as F

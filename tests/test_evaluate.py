@@ -107,3 +107,21 @@ def test_select_runs(spark):
     assert EV.select_best_run(runs).first()["run_name"] == "b"
     assert EV.select_best_run(runs.where("run_name = 'leaky'")).count() == 0
     assert EV.select_serving_run(runs).first()["run_name"] == "b"
+
+
+def test_rank_hot_group_with_one_repeated_value_spreads(spark):
+    # a third of the rows share one group AND one value
+    from pyspark.sql import functions as F
+    hot = spark.range(3000).select(F.lit(7).alias("g"), F.lit(1.0).alias("v"), F.col("id"))
+    cold = spark.range(6000).select((F.col("id") % 5).cast("int").alias("g"),
+                                    (F.col("id") / 7.0).alias("v"), (F.col("id") + 10_000).alias("id"))
+    df = hot.unionByName(cold)
+    r = rank_within_groups(df, ["g"], ["v"], n_partitions=6)
+    got = r.where("g = 7").select("rank").collect()
+    assert sorted(x["rank"] for x in got) == list(range(1, 3001))
+    # the repeated value is spread over several range partitions (tie-break id)
+    from lodgeframe.operators import ranking
+    probe = df.withColumn("_tb", F.monotonically_increasing_id())
+    parts = (ranking._range_partition(probe, 6, ["g", "v", "_tb"])
+             .where("g = 7").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1

@@ -5,8 +5,6 @@ At sf0.001 two neighbourhoods have no calendar day in the first 30 days,
 so the refresh gate (VA2) correctly refuses to publish -- tested below.
 """
 
-import os
-
 import pytest
 
 import __spark_entry__ as E
