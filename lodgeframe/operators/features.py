@@ -366,14 +366,19 @@ def validate_feature_set(df: DataFrame) -> DataFrame:
     inputs = model_input_columns(df.columns)
     forbidden = sorted(set(FORBIDDEN_COLUMNS) & set(df.columns))
     leakage = [c for c in inputs if c.startswith("future_")]
-    # duplicates = rows - distinct keys, as a grouped count (scalar subquery)
-    key_dupes = (df.groupBy("listing_id", "cutoff_date").count()
-                 .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).scalar())
-    j = df.agg(
-        F.count(F.when(F.col(TARGET).isNull(), F.lit(1))).alias("missing_target"),
-        F.count(F.when(~F.col(TARGET).isin(0, 1), F.lit(1))).alias("non_binary_target"),
-        F.min("future_calendar_days_observed_30d").alias("min_future_days"),
-    ).withColumn("v", key_dupes)
+    # One job: aggregate per key first (the duplicate count needs the key
+    # groups), then over the per-key rows.  Only key columns and a few
+    # flags are shuffled.
+    per_key = df.groupBy("listing_id", "cutoff_date").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.count(F.when(F.col(TARGET).isNull(), F.lit(1))).alias("mt"),
+        F.count(F.when(~F.col(TARGET).isin(0, 1), F.lit(1))).alias("nb"),
+        F.min("future_calendar_days_observed_30d").alias("mf"))
+    j = per_key.agg(
+        F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("v"),
+        F.coalesce(F.sum("mt"), F.lit(0)).alias("missing_target"),
+        F.coalesce(F.sum("nb"), F.lit(0)).alias("non_binary_target"),
+        F.min("mf").alias("min_future_days"))
     checks = [
         ("duplicate_count", F.col("v").cast("bigint"), F.col("v") == 0),
         ("missing_target_count", F.col("missing_target"), F.col("missing_target") == 0),

@@ -10,6 +10,11 @@ from ..sources.standin import StandIn
 from .oracle_sql import rnd, with_views
 
 
+# Resolved windows per stored warehouse (keyed by the inputs' fingerprint,
+# so a changed input resolves again).
+_WINDOWS: dict = {}
+
+
 class _Ctx:
     """Per-query stand-in views plus the resolved cutoff window."""
 
@@ -21,7 +26,12 @@ class _Ctx:
     @property
     def window(self):
         if self._w is None:
-            self._w = FE.resolve_window(self.cal)
+            key = self.v.cache_key("cutoff_window")
+            self._w = _WINDOWS.get(key) if key else None
+            if self._w is None:
+                self._w = FE.resolve_window(self.cal)
+                if key:
+                    _WINDOWS[key] = self._w
         return self._w
 
     def static(self):
@@ -31,6 +41,16 @@ class _Ctx:
         return FE.build_feature_set(self.v.listing(), self.v.host(), self.v.neighbourhood(),
                                     self.v.review(), self.cal, self.window)
 
+    def staged_features(self):
+        """The assembled feature set written once to the shared checkpoint
+        folder, for pipelines that read it several times (profile, drop,
+        validation, sidecars, save) -- one computation instead of one per pass."""
+        if getattr(self, "_staged", None) is None:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(self.v.spark)
+            self._staged = self.features().checkpoint(eager=True)
+        return self._staged
+
 
 def q_cutoff_window(spark, sf_dir):
     c = _Ctx(spark, sf_dir)

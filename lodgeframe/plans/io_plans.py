@@ -20,7 +20,7 @@ from .feature_plans import _Ctx
 def q_feature_set_roundtrip(spark, sf_dir):
     """SK2 + SC2: feature set to Parquet and CSV, read back (Parquet preferred)."""
     ctx = _Ctx(spark, sf_dir)
-    clean, _ = FE.drop_unusable_columns(ctx.features())
+    clean, _ = FE.drop_unusable_columns(ctx.staged_features())
     base = scratch_path(spark, "feature_set")
     K.write_feature_set(clean, base)
     return K.read_feature_set(spark, base)
@@ -29,7 +29,7 @@ def q_feature_set_roundtrip(spark, sf_dir):
 def q_scan_feature_set(spark, sf_dir):
     """SC2 fallback branch: only the CSV copy exists -> read CSV with the schema."""
     ctx = _Ctx(spark, sf_dir)
-    clean, _ = FE.drop_unusable_columns(ctx.features())
+    clean, _ = FE.drop_unusable_columns(ctx.staged_features())
     base = scratch_path(spark, "feature_set_csv_only")
     clean.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
     return K.read_feature_set(spark, base, schema=clean.schema)
@@ -37,7 +37,7 @@ def q_scan_feature_set(spark, sf_dir):
 
 def q_dataset_metadata(spark, sf_dir):
     ctx = _Ctx(spark, sf_dir)
-    clean, _ = FE.drop_unusable_columns(ctx.features())
+    clean, _ = FE.drop_unusable_columns(ctx.staged_features())
     path = scratch_path(spark, "metadata_json")
     K.write_json_rows(R.dataset_metadata(clean, ctx.window), path)
     return spark.read.json(path)
@@ -45,7 +45,7 @@ def q_dataset_metadata(spark, sf_dir):
 
 def q_validation_report(spark, sf_dir):
     ctx = _Ctx(spark, sf_dir)
-    clean, dropped = FE.drop_unusable_columns(ctx.features())
+    clean, dropped = FE.drop_unusable_columns(ctx.staged_features())
     path = scratch_path(spark, "validation_json")
     K.write_json_rows(R.validation_report(clean, dropped), path)
     return spark.read.json(path)
@@ -57,7 +57,7 @@ def q_pii_audit(spark, sf_dir):
     v = ctx.v
     sources = {"listing": v.listing(), "host": v.host(), "review": v.review(),
                "neighbourhood": v.neighbourhood(), "calendar_day": ctx.cal}
-    clean, _ = FE.drop_unusable_columns(ctx.features())
+    clean, _ = FE.drop_unusable_columns(ctx.staged_features())
     audit = R.pii_audit(spark, sources, {"feature_set": clean})
     path = scratch_path(spark, "pii_audit_csv")
     K.write_csv(audit, path, single_file=True)

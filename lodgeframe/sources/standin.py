@@ -67,6 +67,14 @@ class StandIn:
         _STORED_VIEWS[key] = df
         return df
 
+    def cache_key(self, what: str):
+        """Key for values derived from the stored views (None without a warehouse)."""
+        if not self.materialized:
+            return None
+        if self._root is None:
+            self._root = WH.warehouse_root(self.spark, self.sf_dir)
+        return (id(self.spark), self._root, what)
+
     def __getattr__(self, name: str):
         # public view accessors: listing(), calendar_day(), ...
         if name.startswith("_") or not hasattr(type(self), f"_derive_{name}"):
