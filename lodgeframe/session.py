@@ -53,12 +53,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/lodgeframe-checkpoints") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a folder of our own is set only when
-    the session has none (local tests).
+    The cluster's setting always wins.  A folder of our own is set only for
+    a local-mode session without one (tests); on a cluster a missing
+    setting is an error, because a machine-local folder would not be shared
+    by the executors.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         conf_dir = fallback
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
