@@ -217,15 +217,25 @@ def select_serving_run(runs: DataFrame) -> DataFrame:
 
 
 def latency_summary(events: DataFrame, group: str, value: str,
-                    quantiles=(0.5, 0.95, 0.99), n_partitions: int | None = None) -> DataFrame:
-    """AG19: total, mean and upper-nearest-rank percentiles ``sorted[int(n*q)]``.
+                    quantiles=(0.5, 0.95, 0.99), n_partitions: int | None = None,
+                    ts: str | None = None) -> DataFrame:
+    """AG19: count, total, elapsed time and rate, and upper-nearest-rank
+    percentiles ``sorted[int(n*q)]`` per group.
+
+    ``elapsed_s`` is the span of ``ts`` (first to last event) and
+    ``rate_per_s`` = n / elapsed, the load test's requests per second.
 
     The percentile rows are found with distributed exact ranks; a hot
     group is split across range partitions rather than sorted in one task.
     """
     from .ranking import rank_within_groups
-    counts = events.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(value).alias("total"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")]
+    if ts is not None:
+        aggs.append((F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) / 1e6).alias("elapsed_s"))
+    counts = events.groupBy(group).agg(*aggs)
+    if ts is not None:
+        counts = counts.withColumn("rate_per_s", F.try_divide(F.col("n").cast("double"),
+                                                              F.col("elapsed_s")))
     ranked = rank_within_groups(events.select(group, value), [group], [value], n_partitions)
     targets = [F.struct(F.lit(f"p{int(round(q * 100))}").alias("q"),
                         (F.least(F.floor(F.col("n") * F.lit(q)), F.col("n") - 1) + 1).cast("bigint")

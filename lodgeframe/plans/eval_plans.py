@@ -64,8 +64,9 @@ def q_select_serving_run(spark, sf_dir):
 
 def q_latency_percentiles(spark, sf_dir):
     ev = StandIn(spark, sf_dir).raw.events
-    out = EV.latency_summary(ev, "event_type", "value")
-    return out.withColumn("total", round_half_up("total", 4))
+    out = EV.latency_summary(ev, "event_type", "value", ts="ts")
+    return (out.withColumn("total", round_half_up("total", 4))
+               .withColumn("rate_per_s", round_half_up("rate_per_s", 6)))
 
 
 QUERIES = {
@@ -174,11 +175,14 @@ ORACLES = {
         "SELECT run_name, 2 AS tier, f1 FROM runs ORDER BY f1 DESC NULLS LAST, run_name LIMIT 1",
         ("scores",), (_SWEEP, _RUNS)),
     "latency_percentiles": """
-        WITH r AS (SELECT event_type, value,
+        WITH r AS (SELECT event_type, value, ts,
                           row_number() OVER (PARTITION BY event_type ORDER BY value) AS rk,
                           count(*) OVER (PARTITION BY event_type) AS n FROM events)
         SELECT event_type, any_value(n) AS n,
                CAST(round(CAST(sum(value) AS DECIMAL(18,8)), 4) AS DOUBLE) AS total,
+               date_diff('microsecond', min(ts), max(ts)) / 1e6 AS elapsed_s,
+               CAST(round(CAST(count(*) / (date_diff('microsecond', min(ts), max(ts)) / 1e6)
+                               AS DECIMAL(18,8)), 6) AS DOUBLE) AS rate_per_s,
                max(CASE WHEN rk = least(floor(n * 0.5), n - 1) + 1 THEN value END) AS p50,
                max(CASE WHEN rk = least(floor(n * 0.95), n - 1) + 1 THEN value END) AS p95,
                max(CASE WHEN rk = least(floor(n * 0.99), n - 1) + 1 THEN value END) AS p99
