@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import decontam
+from lodgeframe.llm import ctw, decontam
 
 QUERIES = {
     "op7_decontamination": decontam.op7_decontamination,
+    "op10_language_model": ctw.op10_language_model,
 }
 
 ORACLES: dict[str, str] = {}
