@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import ctw, decontam
+from lodgeframe.llm import ctw, decontam, jaccard_join
 
 QUERIES = {
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_decontamination": decontam.op7_decontamination,
     "op10_language_model": ctw.op10_language_model,
 }
