@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import ctw, decontam, jaccard_join
+from lodgeframe.llm import ctw, decontam, jaccard_join, suffix_levels
 
 QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_decontamination": decontam.op7_decontamination,
+    "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
     "op10_language_model": ctw.op10_language_model,
 }
 
