@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import ctw, decontam, jaccard_join, suffix_levels
+from lodgeframe.llm import ctw, decontam, jaccard_join, subwords, suffix_levels
 
 QUERIES = {
+    "op2_sentencepiece": subwords.op2_sentencepiece,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_decontamination": decontam.op7_decontamination,
     "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
