@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import ctw, decontam, jaccard_join, subwords, suffix_levels
+from lodgeframe.llm import cotrain, ctw, decontam, jaccard_join, subwords, suffix_levels
 
 QUERIES = {
     "op2_sentencepiece": subwords.op2_sentencepiece,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_decontamination": decontam.op7_decontamination,
+    "op8_quality": cotrain.op8_quality,
     "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
     "op10_language_model": ctw.op10_language_model,
 }
