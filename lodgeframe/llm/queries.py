@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import cotrain, ctw, decontam, jaccard_join, subwords, suffix_levels
+from lodgeframe.llm import cotrain, ctw, decontam, jaccard_join, subwords, suffix_levels, toxicity
 
 QUERIES = {
     "op2_sentencepiece": subwords.op2_sentencepiece,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op7_decontamination": decontam.op7_decontamination,
     "op8_quality": cotrain.op8_quality,
