@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import cotrain, ctw, decontam, jaccard_join, subwords, suffix_levels, toxicity
+from lodgeframe.llm import chat, cotrain, ctw, decontam, jaccard_join, multi_index, subwords, suffix_levels, toxicity
 
 QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
     "op2_sentencepiece": subwords.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op6_multi_index": multi_index.op6_multi_index,
     "op7_decontamination": decontam.op7_decontamination,
     "op8_quality": cotrain.op8_quality,
     "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
