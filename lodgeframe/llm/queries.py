@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lodgeframe.llm import chat, cotrain, ctw, decontam, jaccard_join, multi_index, subwords, suffix_levels, toxicity
+from lodgeframe.llm import chat, cotrain, ctw, decontam, jaccard_join, multi_index, subwords, suffix_levels, toxicity, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_sentencepiece": subwords.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_warc": warc.op4_warc,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_multi_index": multi_index.op6_multi_index,
     "op7_decontamination": decontam.op7_decontamination,
