@@ -42,12 +42,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, buckets: int, key: str, *order: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, buckets: int, key: str, *order: str, dealt: bool = False) -> DataFrame:
     """Store ``df`` once, hashed into ``buckets`` by ``key``, so that later joins
-    and groupings on the key need no shuffle of it."""
+    and groupings on the key need no shuffle of it. ``dealt``: its rows are in
+    such buckets already (it comes from joins or groupings of bucketed tables)."""
     spark = df.sparkSession
     label = f"llm_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, key).write.format("parquet").option("compression", "zstd")
+    rows = df if dealt else df.repartition(buckets, key)
+    (rows.write.format("parquet").option("compression", "zstd")
        .option("path", scratch_path(spark, f"llm-{name}"))
        .bucketBy(buckets, key).sortBy(key, *order).saveAsTable(label))
     return spark.table(label)

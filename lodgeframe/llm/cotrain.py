@@ -25,7 +25,7 @@ from lodgeframe.llm import textscan as ts
 from lodgeframe.llm.common import as_batch, crc_mod, lists, map_batches, prepare, stage, table
 
 ROUNDS = 2
-STEPS = 5
+STEPS = 7
 RIDGE = 1.0
 PRECISION = 0.98
 #: a document stays if its probability of good quality reaches this
@@ -109,35 +109,44 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def newton(rows: DataFrame, x: str, label: str, scale: tuple, start: np.ndarray) -> np.ndarray:
     """Ridge logistic regression of ``label`` (null: not used) on the array column
-    ``x``: ``STEPS`` Newton steps, each one pass over ``rows``."""
-    w = start
+    ``x``: ``STEPS`` guarded Newton steps, each one pass over ``rows``."""
+    d = len(start)
+    ridge = np.full(d, RIDGE)
+    ridge[-1] = 1e-6
+    w, best, best_loss = start, start, np.inf
     for _ in range(STEPS):
         sums = normal_equations(rows, x, label, scale, w)
-        d = len(w)
-        h, g = sums[:d * d].reshape(d, d), sums[d * d:]
-        ridge = np.full(d, RIDGE)
-        ridge[-1] = 1e-6
-        w = w + np.linalg.solve(h + np.diag(ridge), g - ridge * w)
-    return w
+        loss = sums[-1] + 0.5 * (ridge * w * w).sum()
+        if loss > best_loss:            # overshot: go half way back
+            w = (w + best) / 2
+            continue
+        best, best_loss = w, loss
+        h, g = sums[:d * d].reshape(d, d), sums[d * d:-1]
+        step = np.linalg.solve(h + np.diag(ridge), g - ridge * w)
+        w = w + step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
+    return best
 
 
 def normal_equations(rows: DataFrame, x: str, label: str, scale: tuple, w: np.ndarray) -> np.ndarray:
+    """Hessian, gradient and log loss at ``w``, back to back."""
     d = len(w)
 
     def run(batches):
-        total = np.zeros(d * d + d)
+        total = np.zeros(d * d + d + 1)
         for batch in batches:
             y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
             m = scaled(matrix(batch.column(0), d), scale)
-            p = sigmoid(m @ w)
+            z = m @ w
+            p = sigmoid(z)
+            total[-1] += (np.logaddexp(0, z) - y * z).sum()
             total[:d * d] += ((m * (p * (1 - p))[:, None]).T @ m).ravel()
-            total[d * d:] += m.T @ (y - p)
+            total[d * d:-1] += m.T @ (y - p)
         yield as_batch({"cell": np.arange(len(total)), "value": total}, schema)
 
     schema = pa.schema([("cell", pa.int64()), ("value", pa.float64())])
     found = (rows.where(F.col(label).isNotNull()).select(x, F.col(label).cast("double")).mapInArrow(run, "cell long, value double")
              .groupBy("cell").agg(F.sum("value").alias("value")).toPandas())
-    out = np.zeros(d * d + d)
+    out = np.zeros(d * d + d + 1)
     out[found["cell"].to_numpy()] = found["value"].to_numpy()
     return out
 

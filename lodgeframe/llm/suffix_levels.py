@@ -61,8 +61,9 @@ def segments(block: ts.Block, span: int):
 
 def entries(docs: DataFrame, span: int) -> DataFrame:
     """Index entries of all documents (``ENTRY``). A segment that occurs several
-    times in a block becomes one entry with that number of places; its other
-    places come along as entries of no places."""
+    times in a block becomes one entry with that number of places; the other
+    places are repeats for certain and come along merged, with -1 places and
+    a key of their own document."""
 
     def run(batch):
         rows = batch.column(0).to_numpy()
@@ -74,16 +75,26 @@ def entries(docs: DataFrame, span: int) -> DataFrame:
             _, lead, of, count = np.unique(outer, return_index=True, return_inverse=True, return_counts=True)
             places = np.zeros(len(doc), np.int64)
             places[lead] = count
-            yield {"inner": inner.view(np.int64), "outer": outer.view(np.int64), "row": rows[block.first + doc],
-                   "first": (first - block.starts[doc]).astype(np.int32), "lead": (low - first).astype(np.int32), "windows": (last - first + 1).astype(np.int32),
-                   "places": places}
+            zero, sure = block.starts[doc], places == 0
+            keep = np.flatnonzero(~sure)
+            yield {"inner": inner[keep].view(np.int64), "outer": outer[keep].view(np.int64), "row": rows[block.first + doc[keep]],
+                   "first": (first - zero)[keep], "lead": (low - first)[keep], "windows": (last - first + 1)[keep], "places": places[keep]}
+            if sure.any():
+                d, f, t = doc[sure], first[sure], last[sure]
+                new = np.ones(len(d), bool)      # runs of windows that touch
+                new[1:] = (d[1:] != d[:-1]) | (f[1:] > t[:-1] + span)
+                at = np.flatnonzero(new)
+                d, f, t = d[at], f[at], t[np.append(at[1:], len(t)) - 1]
+                of = rows[block.first + d]
+                yield {"inner": ts.mix(of.astype(np.uint64)).view(np.int64), "outer": of, "row": of, "first": f - block.starts[d],
+                       "lead": np.zeros(len(d), np.int64), "windows": t - f + 1, "places": np.full(len(d), -1)}
 
     return map_batches(docs.select("row", "text"), run, ENTRY)
 
 
 def distinct_segments(rows: DataFrame) -> DataFrame:
     """Entries summed to one per segment: its places and one of them."""
-    return (rows.groupBy(*KEYS)
+    return (rows.where("places > 0").groupBy(*KEYS)
             .agg(F.sum("places").alias("places"), F.min(F.struct(*PLACE)).alias("at"))
             .select(*KEYS, *(F.col(f"at.{c}").alias(c) for c in PLACE), "places"))
 
@@ -104,7 +115,7 @@ class SuffixLevels:
         level, rank = distinct_segments(array), 0
         while rank in self.levels:
             level, rank = merge(self.levels.pop(rank), level), rank + 1
-        self.levels[rank] = bucketed(level, "suffix_level", self.buckets, "inner", "outer")
+        self.levels[rank] = bucketed(level, "suffix_level", self.buckets, "inner", "outer", dealt=True)
 
     def scan(self) -> DataFrame:
         """All levels merge-scanned: each distinct segment with its places."""
@@ -118,7 +129,7 @@ class SuffixLevels:
         twice = total.where("places > 1").select(*KEYS)
         out = None
         for array in self.arrays:
-            part = spans(array.join(twice, KEYS), self.span)
+            part = spans(array.where("places > 0").join(twice, KEYS), self.span).union(spans(array.where("places < 0"), self.span))
             out = part if out is None else out.union(part)
         return out
 
