@@ -20,10 +20,10 @@ def round_half_up(x, digits: int) -> Column:
     """``round(x::numeric, digits)`` of PostgreSQL: half away from zero.
 
     ``round`` on a DOUBLE differs between engines, so the value goes
-    through DECIMAL(18,8) first (HALF_UP on decimals everywhere) and comes
+    through DECIMAL(38,8) first (HALF_UP on decimals everywhere) and comes
     back as DOUBLE.
     """
-    return F.round(_c(x).cast("decimal(18,8)"), digits).cast("double")
+    return F.round(_c(x).cast("decimal(38,8)"), digits).cast("double")
 
 
 def exact_avg(x) -> Column:
@@ -92,9 +92,9 @@ def l2_normalize(a, eps: float = NORM_EPS) -> Column:
 
 def sort_small(df, *cols):
     """Total order for a result whose size is bounded by a fixed dimension
-    (neighbourhoods, thresholds, columns): one task sorts it, instead of a
-    range-partitioning exchange with its sampling job."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    (neighbourhoods, thresholds, columns): its finished rows meet in one task
+    and are sorted there; what computes them keeps its own partitions."""
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def sanitize_run_name(x) -> Column:

@@ -249,24 +249,12 @@ def fill_review_defaults(df: DataFrame, past: int = PAST_WINDOW_DAYS,
               .fillna(past + future, subset=["days_since_last_review"]))
 
 
-def assemble_features(static: DataFrame, reviews: DataFrame, calendar_feats: DataFrame,
-                      label: DataFrame, window: CutoffWindow,
-                      dataset_version: str = DATASET_VERSION) -> DataFrame:
-    """FE6/JN6: static ⟕ review ⟕ calendar ⨝ label, constants and fills."""
-    j = (static.join(reviews, "listing_id", "left")
-               .join(calendar_feats, "listing_id", "left")
-               .join(label, "listing_id", "inner"))
-    j = (j.withColumn("cutoff_date", F.lit(window.cutoff_date.isoformat()))
-          .withColumn("dataset_version", F.lit(dataset_version)))
-    return fill_review_defaults(j)
-
-
 def build_feature_set(listing, host, neighbourhood, review, calendar,
                       window: CutoffWindow | None = None,
                       dataset_version: str = DATASET_VERSION) -> DataFrame:
     """FE1-FE6 up to the assembled (pre-drop) table.
 
-    Same rows as ``assemble_features`` over the four separate parts, with
+    Same rows as joining the four separate parts, with
     the calendar read once for history and label (fused aggregate).
     """
     window = window or resolve_window(calendar)

@@ -116,13 +116,3 @@ def exclusive_prefix_sums(df: DataFrame, groups, order, weights, n_partitions: i
         out = out.withColumn(f"{w}{suffix}", F.col(lc) + F.col(f"_off_{w}"))
     return out.drop("_pid", *local_cols, *[f"_off_{w}" for w in weights])
 
-
-def order_statistic(df: DataFrame, groups, value: str, ranks: DataFrame,
-                    n_partitions: int | None = None) -> DataFrame:
-    """Values at given 1-based ranks per group.
-
-    ``ranks`` holds ``groups`` + ``rank`` (+ any label columns); only the
-    ranked rows meet in the join, so no group is gathered in one task.
-    """
-    ranked = rank_within_groups(df.select(*groups, value), groups, [value], n_partitions)
-    return ranks.join(ranked, [*groups, "rank"], "inner")

@@ -7,7 +7,6 @@ temp folder, so a lost executor or a restarted driver sees the same files.
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,12 +68,13 @@ def publish_by_rename(spark: SparkSession, staged_path: str, table_path: str) ->
 
     The previous version is moved aside first and removed only after the
     new one is in place, so a failure mid-swap leaves either the old or the
-    new table (recoverable from ``<table>__previous``), never a partial one.
+    new table (recoverable from ``_<table>__previous``), never a partial one.
     No data is copied.
     """
     fs, dst = _fs(spark, table_path)
     _, src = _fs(spark, staged_path)
-    _, old = _fs(spark, f"{table_path}__previous")
+    parent, _, name = table_path.rstrip("/").rpartition("/")
+    _, old = _fs(spark, f"{parent}/_{name}__previous")          # readers skip names with a leading underscore
     if fs.exists(old):
         fs.delete(old, True)
     if fs.exists(dst) and not fs.rename(dst, old):
@@ -93,27 +93,26 @@ def refresh_summary(spark: SparkSession, summary: DataFrame, table_path: str | N
     The summary is written to a staging folder first; only when the
     validation row passes is it swapped into the published location (a
     rename, no copy), so a failing refresh never replaces a good table --
-    the source replaced the view first and validated after.  Returns
-    ``(published DataFrame, report row)``.
+    the source replaced the view first and validated after.  Either way a
+    report row is appended to ``<table>__reports`` before a failed refresh
+    raises.  Returns ``(published DataFrame, report row)``.
     """
     table_path = table_path or scratch_path(spark, "neighbourhood_summary")
     stage = f"{table_path}__staging"
     summary.write.mode("overwrite").parquet(stage)
     staged = spark.read.schema(summary.schema).parquet(stage)
-    report = Q.validate_summary(staged).first()
+    checks = Q.validate_summary(staged)
+    report = checks.first()
+    refresh_report(spark, checks, table_path, report["passed"]).write.mode("append").json(f"{table_path}__reports")
     Q.gate(report)
     publish_by_rename(spark, stage, table_path)
     return spark.read.schema(summary.schema).parquet(table_path), report
 
 
-def refresh_report(report_row, row_count: int, target: str, status: str) -> str:
-    """VA3 report text (markdown) with the validation dict."""
-    v = report_row.asDict()
-    return ("# Refresh report\n\n"
-            f"- Status: {status}\n"
-            f"- Refreshed object: `{target}`\n"
-            f"- Row count: {row_count}\n"
-            f"- Validation: `{json.dumps(v, sort_keys=True)}`\n")
+def refresh_report(spark: SparkSession, report_row: DataFrame, target: str, passed: bool) -> DataFrame:
+    """VA3: one row with the outcome of a refresh and the numbers it was judged by."""
+    checks = report_row.drop("passed")
+    return checks.select(F.lit(target).alias("target"), F.lit("published" if passed else "refused").alias("outcome"), *checks.columns)
 
 
 def dashboard_read(summary_table: DataFrame) -> DataFrame:
@@ -150,31 +149,53 @@ def dashboard_cards(summary_table: DataFrame, top_n: int = 10) -> DataFrame:
     return out
 
 
-def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: str = "id",
-                 buckets: int = 64) -> str:
-    """SK8 / ST1: replace rows by ``key``, keep all others -- incrementally.
+def last_rows(df: DataFrame, key: str, order: str | None) -> DataFrame:
+    """One row per key: the one of largest ``order`` (ties, and without an order
+    column: the largest row by value)."""
+    row = F.struct(*([F.col(order).alias("_order")] if order else []), *df.columns)
+    return df.groupBy(F.col(key).alias("_key")).agg(F.max(row).alias("r")).select(*(F.col(f"r.{c}").alias(c) for c in df.columns))
+
 
-    The table is partitioned by ``pmod(xxhash64(key), buckets)``.  An upsert
-    reads and rewrites only the buckets its new rows touch (dynamic
-    partition overwrite), so its cost follows the batch, not the table.
-    Re-applying the same batch gives the same table (idempotent).  The
-    merged buckets are staged first, because a job may not overwrite the
-    files it is reading.
+def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: str = "id", order: str | None = None,
+                 rows_per_bucket: int = 1_000_000, limit: int | None = None, dry_run: bool = False) -> int:
+    """SK8 / ST1: replace rows by ``key``, keep all others -- incrementally.
+    Returns the number of points of the batch.
+
+    Of repeated keys in a batch one row stays (``last_rows``).  The table is
+    partitioned by ``pmod(xxhash64(key), buckets)``; the number of buckets is
+    fixed by the first batch's size and kept beside the table.  An upsert
+    writes only the buckets its rows touch, once, and moves them into place by
+    rename, so its cost follows the touched buckets, and a replayed batch gives
+    the same table.  ``limit`` takes the first keys only; a dry run counts and
+    writes nothing.
     """
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int").alias("_bucket")
-    nb = new.select("*", bucket)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        nb.write.mode("overwrite").partitionBy("_bucket").parquet(path)
-        return path
-    old = spark.read.parquet(path)
-    touched = nb.select("_bucket").distinct()            # at most `buckets` rows
-    kept = (old.join(F.broadcast(touched), "_bucket", "left_semi")
-               .join(nb.select(key), key, "left_anti"))
-    stage = f"{path}__stage_{uuid.uuid4().hex[:12]}"
-    nb.unionByName(kept.select(*nb.columns)).write.mode("overwrite").partitionBy("_bucket").parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path))
-    return path
+    if limit is not None:
+        new = new.orderBy(key).limit(limit)
+    batch = last_rows(new, key, order).persist()
+    try:
+        n = batch.count()
+        if dry_run:
+            return n
+        meta = f"{path.rstrip('/')}__buckets"
+        first = not path_exists(spark, f"{meta}/_SUCCESS")
+        if first:
+            spark.createDataFrame([(max(1, -(-n // rows_per_bucket), min(16, n)),)], "buckets int").write.mode("overwrite").json(meta)
+        buckets = spark.read.schema("buckets int").json(meta).first()["buckets"]
+        rows = batch.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
+        if first:
+            rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+            return n
+        touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]     # at most `buckets` numbers
+        kept = (spark.read.parquet(path).where(F.col("_bucket").isin(touched))
+                .join(rows.select(key), key, "left_anti").select(*rows.columns))
+        stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex[:12]}"
+        rows.unionByName(kept).repartition("_bucket").write.partitionBy("_bucket").parquet(stage)
+        for b in touched:
+            publish_by_rename(spark, f"{stage}/_bucket={b}", f"{path.rstrip('/')}/_bucket={b}")
+        spark.catalog.refreshByPath(path)
+        return n
+    finally:
+        batch.unpersist()
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:

@@ -9,26 +9,23 @@ Embedding (EM1)
     text).  It reads the **whole** text (no token cap by default).
 
 Exact filtered top-k (VS1)
-    The corpus is filtered first (payload predicates are plain ``where``
-    clauses, pushed into the scan), then scanned once per *query block*
-    in ``mapInPandas``: a float64 matrix product per Arrow batch and a
-    running top-k per query per partition.  Only ``k`` candidates per
-    query per partition leave a task; the global top-k is a window over
-    those (at most ``k * partitions`` rows per query).  Query blocks are
-    broadcast only up to a checked byte budget; a larger query table is
-    processed block after block -- never query x corpus pairs.
+    Queries and (filtered) corpus are dealt into hash blocks of
+    ``BLOCK_ROWS``; every pair of blocks is one unit, scored in an executor
+    as a float64 matrix product.  A unit returns at most ``k`` rows per
+    query, and a window merges them.  Nothing passes through the driver.
 
 Approximate top-k (VS2)
-    ``BucketedRandomProjectionLSH.approxSimilarityJoin`` on unit vectors
-    (``|a-b|^2 = 2 - 2cos``) with exact re-ranking of the candidates.
+    Inverted file: Spark ML k-means cells, each query scored against the
+    nearest ``probe`` share of the cells.  Large cells are split into
+    blocks of ``BLOCK_ROWS``, so a hot cell is many units.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +33,8 @@ from pyspark.sql import types as T
 from ..functions.scalar import NORM_EPS
 
 DEFAULT_DIM = 384
-QUERY_BLOCK_BYTES = 64 * 1024 * 1024   # broadcast budget per query block
+BLOCK_ROWS = 4096        # vectors per block of a scoring unit
+QUERY_CHUNK = 512        # queries per matrix product inside a unit
 
 
 # -- encoder ---------------------------------------------------------------------------------
@@ -108,13 +106,14 @@ def token_hashes(text, max_tokens: int | None = None):
 
 
 def embed(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
-          dim: int = DEFAULT_DIM, encoder_factory=None, max_tokens: int | None = None) -> DataFrame:
+          dim: int = DEFAULT_DIM, encoder_factory=None, encoder_name: str = "custom", max_tokens: int | None = None) -> DataFrame:
     """EM1: add ``out_col array<float>`` (unit norm) computed from ``text_col``.
 
     Default: the hashed-token encoder (tokens/hashes in the JVM, pooling in
     numpy per Arrow batch).  ``encoder_factory`` plugs in any model object
     with ``encode(list[str]) -> (n, dim) array``; it is constructed once per
-    Python worker and fed whole Arrow batches of texts.
+    Python task and fed whole Arrow batches of texts; ``encoder_name`` keeps
+    different models in one task apart.
     """
     schema = T.StructType(list(df.schema.fields) +
                           [T.StructField(out_col, T.ArrayType(T.FloatType(), False), False)])
@@ -131,7 +130,7 @@ def embed(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
 
         return staged.mapInPandas(run_hashed, schema)
 
-    key = (id(encoder_factory), dim)
+    key = (encoder_name, dim)
 
     def run(batches):
         enc = _encoder(encoder_factory, key)
@@ -142,97 +141,86 @@ def embed(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
     return df.mapInPandas(run, schema)
 
 
-# -- exact top-k ----------------------------------------------------------------------------
+# -- top-k over scoring units -------------------------------------------------------------
 
-def _query_blocks(queries: DataFrame, qid: str, qvec: str, dim_hint: int | None,
-                  budget: int = QUERY_BLOCK_BYTES):
-    """Yield bounded query blocks as pandas frames.
+def _unit_vectors(column) -> np.ndarray:
+    m = np.stack([np.asarray(v, dtype=np.float64) for v in column])
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), NORM_EPS)
 
-    The block size is derived from a *checked* row count and the vector
-    dimension (float64 bytes), so no block exceeds ``budget`` bytes; the
-    query table is cut by ranks of ``qid`` into that many row ranges.
-    """
-    n = queries.count()
-    if n == 0:
-        return
-    dim = dim_hint or len(queries.select(qvec).first()[0])
-    per_row = 8 * dim + 256
-    block = max(1, budget // per_row)
-    n_blocks = math.ceil(n / block)
-    if n_blocks == 1:
-        yield queries.toPandas()
-        return
-    from .ranking import rank_within_groups
-    ranked = rank_within_groups(queries, [], [qid]).withColumn(
-        "_blk", ((F.col("rank") - 1) / F.lit(block)).cast("int")).drop("rank")
-    for b in range(n_blocks):
-        yield ranked.where(F.col("_blk") == b).drop("_blk").toPandas()
-
-
-def _pack_query_block(qpdf, qid, qvec, k_col, filters, default_k):
-    """Driver side: one bounded query block as numpy arrays (to be broadcast)."""
-    import numpy as np
-    q_ids = qpdf[qid].to_numpy().astype(np.int64)
-    Q = (np.stack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec]]) if len(qpdf)
-         else np.zeros((0, 1)))
-    Q /= np.maximum(np.linalg.norm(Q, axis=1, keepdims=True), NORM_EPS)
-    ks = (qpdf[k_col].to_numpy().astype(np.int64) if k_col else np.full(len(qpdf), default_k))
-    qf = {c: qpdf[qc].to_numpy(dtype=object) for c, (qc, _) in filters.items()}
-    return q_ids, Q, ks, qf
-
-
-def _topk_partition_fn(block_bc, cid, cvec, filters, exclude_self):
-    """Executor side: running top-k of one broadcast query block over corpus batches."""
-
-    def fn(batches):
-        import numpy as np
-        q_ids, Q, ks, qf = block_bc.value          # fetched once per executor
-        kmax = int(ks.max()) if len(ks) else 0
-        best_s = np.full((len(q_ids), kmax), -np.inf)
-        best_i = np.full((len(q_ids), kmax), -1, dtype=np.int64)
-        for pdf in batches:
-            if not len(pdf) or not len(q_ids):
-                continue
-            C = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[cvec]])
-            C /= np.maximum(np.linalg.norm(C, axis=1, keepdims=True), NORM_EPS)
-            S = Q @ C.T
-            ids = pdf[cid].to_numpy().astype(np.int64)
-            for c, (_, mode) in filters.items():
-                cv = pdf[c].to_numpy(dtype=object)
-                qv = qf[c]
-                if mode == "eq":      # query value null -> no filter
-                    free = np.array([q is None or q != q for q in qv])
-                    m = free[:, None] | (qv[:, None] == cv[None, :])
-                else:                 # "ne_neutral": drop corpus rows equal to 'neutral' when flag set
-                    drop = np.array([x == "neutral" for x in cv])
-                    flag = np.array([bool(q) for q in qv])
-                    m = ~(flag[:, None] & drop[None, :])
-                S = np.where(m, S, -np.inf)
-            if exclude_self:
-                S = np.where(q_ids[:, None] == ids[None, :], -np.inf, S)
-            allS = np.concatenate([best_s, S], axis=1)
-            allI = np.concatenate([best_i, np.broadcast_to(ids, S.shape)], axis=1)
-            # order by score desc, id asc; keep kmax
-            order = np.lexsort((allI, -allS), axis=1)[:, :kmax]
-            best_s = np.take_along_axis(allS, order, axis=1)
-            best_i = np.take_along_axis(allI, order, axis=1)
-        rows_q, rows_i, rows_s = [], [], []
-        for r in range(len(q_ids)):
-            for j in range(int(ks[r])):
-                if best_i[r, j] >= 0 and np.isfinite(best_s[r, j]):
-                    rows_q.append(q_ids[r]); rows_i.append(best_i[r, j]); rows_s.append(best_s[r, j])
+
+def _allowed(q, c, filters: dict) -> np.ndarray:
+    """Mask (queries x corpus rows) of the per-query payload filters."""
+    ok = np.ones((len(q), len(c)), dtype=bool)
+    for col, (q_col, mode) in filters.items():
+        cv, qv = c[col].to_numpy(dtype=object), q[q_col].to_numpy(dtype=object)
+        if mode == "eq":          # query value null -> no filter
+            free = np.array([x is None or x != x for x in qv])
+            ok &= free[:, None] | (qv[:, None] == cv[None, :])
+        else:                     # "ne_neutral": flagged queries skip neutral rows
+            flag = np.array([bool(x) for x in qv])
+            ok &= ~(flag[:, None] & np.array([x == "neutral" for x in cv])[None, :])
+    return ok
+
+
+def _score_unit(k: int, filters: dict, exclude_self: bool):
+    """Top ``k`` of one unit's queries among its corpus rows (score desc, id asc)."""
+
+    def fn(q, c):
         import pandas as pd
-        yield pd.DataFrame({"qid": np.asarray(rows_q, dtype=np.int64),
-                            "id": np.asarray(rows_i, dtype=np.int64),
-                            "score": np.asarray(rows_s, dtype=np.float64)})
+        out = {"qid": [], "id": [], "score": []}
+        if len(q) and len(c):
+            c = c.sort_values("id")
+            ids, C = c["id"].to_numpy(dtype=np.int64), _unit_vectors(c["cvec"])
+            for a in range(0, len(q), QUERY_CHUNK):
+                part = q.iloc[a:a + QUERY_CHUNK]
+                qids = part["qid"].to_numpy(dtype=np.int64)
+                S = np.where(_allowed(part, c, filters), _unit_vectors(part["qvec"]) @ C.T, -np.inf)
+                if exclude_self:
+                    S[qids[:, None] == ids[None, :]] = -np.inf
+                best = np.argsort(-S, axis=1, kind="stable")[:, :k]
+                score = np.take_along_axis(S, best, axis=1)
+                row, col = np.nonzero(np.isfinite(score))
+                out["qid"].append(qids[row])
+                out["id"].append(ids[best[row, col]])
+                out["score"].append(score[row, col])
+        empty = {"qid": np.int64, "id": np.int64, "score": np.float64}
+        return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, empty[c]) for c, v in out.items()})
+
     return fn
 
 
+def _merge(queries: DataFrame, corpus: DataFrame, units: list[str], k: int, filters: dict, exclude_self: bool) -> DataFrame:
+    """Score dealt queries (qid, qvec, k, ..) and corpus rows (id, cvec, ..) that
+    share the unit columns and rank each query's hits."""
+    hits = queries.groupBy(*units).cogroup(corpus.groupBy(*units)).applyInPandas(
+        _score_unit(k, filters, exclude_self), "qid long, id long, score double")
+    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))
+    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _blocks(n: int) -> int:
+    return max(1, -(-n // BLOCK_ROWS))
+
+
+def _all_of(n: int, name: str):
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+
+def _block_of(key: str, n: int, name: str):
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(name)
+
+
+def _sides(queries: DataFrame, corpus: DataFrame, qid, qvec, cid, cvec, k_col, filters):
+    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qvec"),
+                       *([F.col(k_col).alias("_k")] if k_col else []), *dict.fromkeys(c for c, _ in filters.values()))
+    return q, corpus.select(F.col(cid).alias("id"), F.col(cvec).alias("cvec"), *filters)
+
+
 def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str = "qid",
                qvec: str = "embedding", cid: str = "id", cvec: str = "embedding",
                k_col: str | None = None, lang: str | None = None, primary: str | None = None,
                exclude_neutral: bool = False, query_filters: dict | None = None,
-               exclude_self: bool = False, budget: int = QUERY_BLOCK_BYTES) -> DataFrame:
+               exclude_self: bool = False) -> DataFrame:
     """VS1: exact filtered top-k by cosine -> (qid, id, score, rank).
 
     Static payload filters (``lang``, ``primary``, ``exclude_neutral``) are
@@ -240,6 +228,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str =
     column to ``(query column, mode)`` for per-query filters: mode "eq"
     (query value null = no filter) or "ne_neutral" (boolean query flag).
     ``NOT (primary_label <=> 'neutral')`` keeps null labels, as the source.
+    ``k_col`` gives each query its own k, at most ``k``.
     """
     c = corpus
     if lang is not None:
@@ -249,50 +238,50 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str =
     if exclude_neutral:
         c = c.where(~F.col("primary_label").eqNullSafe("neutral"))
     filters = dict(query_filters or {})
-    ccols = [cid, cvec] + [col for col in filters]
-    c = c.select(*dict.fromkeys(ccols))
-    qcols = [qid, qvec] + ([k_col] if k_col else []) + [qc for qc, _ in filters.values()]
-    q = queries.select(*dict.fromkeys(qcols))
-    out_schema = "qid long, id long, score double"
-    parts = []
-    sc = queries.sparkSession.sparkContext
-    for qpdf in _query_blocks(q, qid, qvec, None, budget):
-        # the block's size is bounded by `budget`; it travels once per executor
-        bc = sc.broadcast(_pack_query_block(qpdf, qid, qvec, k_col, filters, k))
-        fn = _topk_partition_fn(bc, cid, cvec, filters, exclude_self)
-        parts.append(c.mapInPandas(fn, out_schema))
-    if not parts:
-        return queries.sparkSession.createDataFrame([], out_schema + ", rank int")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))
-    ranked = cand.withColumn("rank", F.row_number().over(w))
+    q, c = _sides(queries, c, qid, qvec, cid, cvec, k_col, filters)
+    nq, nc = _blocks(q.count()), _blocks(c.count())
+    ranked = _merge(q.select("*", _block_of("qid", nq, "qb"), _all_of(nc, "cb")),
+                    c.select("*", _block_of("id", nc, "cb"), _all_of(nq, "qb")), ["qb", "cb"], k, filters, exclude_self)
     if k_col:
-        kk = queries.select(F.col(qid).alias("qid"), F.col(k_col).alias("_k"))
-        return ranked.join(kk, "qid").where(F.col("rank") <= F.col("_k")).drop("_k")
-    return ranked.where(F.col("rank") <= k)
+        return ranked.join(q.select("qid", "_k"), "qid").where(F.col("rank") <= F.col("_k")).drop("_k")
+    return ranked
 
 
-def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str = "qid",
+def knn_ivf(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str = "qid",
             qvec: str = "embedding", cid: str = "id", cvec: str = "embedding",
-            min_cos: float = 0.2, bucket_length: float = 0.1, num_tables: int = 12,
-            seed: int = 42, exclude_self: bool = False) -> DataFrame:
-    """VS2: approximate top-k via LSH candidates + exact cosine re-rank."""
-    dist = math.sqrt(max(0.0, 2.0 - 2.0 * min_cos))
-    qa = queries.select(F.col(qid).alias("qid"), array_to_vector(
-        F.transform(qvec, lambda x: x.cast("double"))).alias("v"))
-    ca = corpus.select(F.col(cid).alias("id"), array_to_vector(
-        F.transform(cvec, lambda x: x.cast("double"))).alias("v"))
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(ca)
-    pairs = lsh.approxSimilarityJoin(qa, ca, dist, distCol="d").select(
-        F.col("datasetA.qid").alias("qid"), F.col("datasetB.id").alias("id"),
-        (F.lit(1.0) - F.col("d") * F.col("d") / 2.0).alias("score"))
-    if exclude_self:
-        pairs = pairs.where(F.col("qid") != F.col("id"))
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            probe: float = 0.9, seed: int = 42, exclude_self: bool = False) -> DataFrame:
+    """VS2: approximate top-k -> (qid, id, score, rank): exact cosine within the
+    ``probe`` share of k-means cells whose centres are nearest to the query.
+    The number of cells grows with the square root of the corpus."""
+    q, c = _sides(queries, corpus, qid, qvec, cid, cvec, None, {})
+    as_vector = lambda col: array_to_vector(F.transform(col, lambda x: x.cast("double")))
+    n = c.count()
+    if n == 0:
+        return queries.sparkSession.createDataFrame([], "qid long, id long, score double, rank int")
+    model = KMeans(k=max(2, round(n ** 0.5 / 2)), seed=seed, maxIter=10, featuresCol="v", predictionCol="cell").fit(
+        c.select(as_vector("cvec").alias("v")))
+    placed = model.transform(c.withColumn("v", as_vector("cvec"))).drop("v")
+    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}    # one row per cell
+    centres = np.array(model.clusterCenters())
+    splits = np.array([_blocks(sizes.get(i, 0)) for i in range(len(centres))])
+    visits = max(1, int(np.ceil(probe * len(centres))))
+
+    def probes(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            near = np.argsort(-(_unit_vectors(pdf["qvec"]) @ centres.T), axis=1, kind="stable")[:, :visits]
+            pdf["cells"] = list(near.astype(np.int32))
+            yield pdf
+
+    per_cell = F.array(*(F.lit(int(x)) for x in splits))
+    asked = (q.mapInPandas(probes, q.schema.simpleString()[7:-1] + ",cells:array<int>")
+             .withColumn("cell", F.explode("cells")).drop("cells")
+             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.element_at(per_cell, F.col("cell") + 1) - 1))))
+    dealt = placed.withColumn("cb", F.pmod(F.xxhash64("id"), F.element_at(per_cell, F.col("cell") + 1)).cast("int"))
+    nq = _blocks(q.count())
+    return _merge(asked.select("*", _block_of("qid", nq, "qb")), dealt.select("*", _all_of(nq, "qb")),
+                  ["cell", "cb", "qb"], k, {}, exclude_self)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
@@ -306,33 +295,28 @@ def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
 
 # -- cosine helpers (FN10) --------------------------------------------------------------------
 
-def cosine_to_prototypes(df: DataFrame, protos_pdf, id_col: str = "id", vec: str = "embedding",
-                         proto_key: str = "proto") -> DataFrame:
-    """Row-normalised cosine of every row against a bounded prototype matrix
-    (norms clipped at 1e-12), computed per Arrow batch -> (id, proto, cos)."""
-    import numpy as np
-    P = np.stack([np.asarray(v, dtype=np.float64) for v in protos_pdf["vec"]])
-    P /= np.maximum(np.linalg.norm(P, axis=1, keepdims=True), NORM_EPS)
-    keys = protos_pdf[proto_key].tolist()
+def cosine_to_prototypes(df: DataFrame, protos: DataFrame, id_col: str = "id", vec: str = "embedding",
+                         proto_key: str = "proto", proto_vec: str = "vec") -> DataFrame:
+    """Row-normalised cosine of every row against every prototype (norms clipped
+    at 1e-12) -> (id, proto, cos).  Both sides are dealt into blocks, so the
+    number of prototypes is not bounded by a broadcast."""
+    schema = f"id long, {proto_key} string, cos double"
 
-    def fn(batches):
+    def fn(x, p):
         import pandas as pd
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
-            X /= np.maximum(np.linalg.norm(X, axis=1, keepdims=True), NORM_EPS)
-            S = X @ P.T
-            yield pd.DataFrame({"id": np.repeat(pdf[id_col].to_numpy().astype(np.int64), len(keys)),
-                                proto_key: np.tile(np.asarray(keys, dtype=object), len(pdf)),
-                                "cos": S.reshape(-1)})
+        if not len(x) or not len(p):
+            return pd.DataFrame({"id": np.zeros(0, np.int64), proto_key: np.zeros(0, object), "cos": np.zeros(0)})
+        s = _unit_vectors(x["x"]) @ _unit_vectors(p["p"]).T
+        return pd.DataFrame({"id": np.repeat(x["id"].to_numpy(dtype=np.int64), len(p)),
+                             proto_key: np.tile(p[proto_key].to_numpy(dtype=object), len(x)), "cos": s.reshape(-1)})
 
-    return df.select(id_col, vec).mapInPandas(fn, f"id long, {proto_key} string, cos double")
+    nx, np_ = _blocks(df.count()), _blocks(protos.count())
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec).alias("x")).select("*", _block_of("id", nx, "xb"), _all_of(np_, "pb"))
+    cols = protos.select(proto_key, F.col(proto_vec).alias("p")).select("*", _block_of(proto_key, np_, "pb"), _all_of(nx, "xb"))
+    return rows.groupBy("xb", "pb").cogroup(cols.groupBy("xb", "pb")).applyInPandas(fn, schema)
 
 
 def centroids(df: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
-    """Mean vector per key (per-dimension average; one shuffle of (key, pos))."""
-    e = df.select(key, F.posexplode(vec).alias("pos", "x"))
-    g = e.groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return g.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("s")).select(
-        key, F.transform("s", lambda t: t["m"]).alias("vec"))
+    """Mean vector per key, as one aggregation."""
+    v = array_to_vector(F.transform(vec, lambda x: x.cast("double")))
+    return df.groupBy(key).agg(Summarizer.mean(v).alias("m")).select(key, vector_to_array("m").alias("vec"))

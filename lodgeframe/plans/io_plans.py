@@ -93,14 +93,6 @@ def q_scan_sidecar(spark, sf_dir):
                                               F.size("model_input_columns").alias("n_inputs"))
 
 
-def q_require_columns(spark, sf_dir):
-    """PF1: required-column check of the flat listings extract (schema only)."""
-    from ..operators.summary import LISTINGS_REQUIRED
-    cols = set(StandIn(spark, sf_dir).listings_flat().columns)
-    return spark.createDataFrame([(c, c in cols) for c in sorted(LISTINGS_REQUIRED)],
-                                 "column string, present boolean")
-
-
 def q_file_manifest(spark, sf_dir):
     """VA10: sha256 of every data file of the directory."""
     return FS.file_manifest(spark, sf_dir, "*.parquet")
@@ -134,11 +126,8 @@ QUERIES = {
     "scan_feature_set": q_scan_feature_set,
     "dataset_metadata": q_dataset_metadata,
     "validation_report": q_validation_report,
-    "pii_audit": q_pii_audit,
     "run_artifacts": q_run_artifacts,
     "scan_json": q_scan_json,
-    "scan_sidecar": q_scan_sidecar,
-    "require_columns": q_require_columns,
     "file_manifest": q_file_manifest,
     "manifest_verify": q_manifest_verify,
     "stream_daily_counts": q_stream_daily_counts,

@@ -252,7 +252,6 @@ QUERIES = {
     "query_bounds": q_query_bounds,
     "score_batch": q_score_batch,
     "repro_check": q_repro_check,
-    "feature_lists": q_feature_lists,
     "class_weights_features": q_class_weights_features,
     "experiment_runs": q_experiment_runs,
 }

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -80,11 +81,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/lodgeframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side file checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop FileSystem (works for s3a/hdfs/local)."""
     jvm = spark.sparkContext._jvm
@@ -94,4 +90,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "path_exists",
-           "local_path", "DEFAULT_CONF"]
+           "DEFAULT_CONF"]

@@ -12,8 +12,8 @@ each view once, in a layout chosen for the queries:
   skip whole files; files are sized for parallel scans;
 * the small dimensions are written as a few files.
 
-The location is keyed by the source files' paths, sizes and modification
-times, below the shared ``spark.checkpoint.dir`` -- a changed input gets a
+The location is keyed by the source files' names, sizes and modification
+times and by the derivation's code, below the shared ``spark.checkpoint.dir`` -- a changed input gets a
 new warehouse, and every executor (or a restarted driver) sees the same
 files.  A view is published only after its ``_SUCCESS`` marker exists;
 a half-written view is rewritten.
@@ -22,6 +22,7 @@ a half-written view is rewritten.
 from __future__ import annotations
 
 import hashlib
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +42,6 @@ LAYOUT = {
     "scores": (None, 500_000),
 }
 CONF_KEY = "lodgeframe.warehouse.enabled"
-LAYOUT_VERSION = 2          # part of the location: a new layout never reads an old copy
 
 
 def enabled(spark: SparkSession) -> bool:
@@ -51,14 +51,19 @@ def enabled(spark: SparkSession) -> bool:
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = [f"layout{LAYOUT_VERSION}", sf_dir.rstrip("/")]
+    from . import standin
+
+    # an edited derivation must not read an old copy
+    parts = [inspect.getsource(standin), repr(LAYOUT), sf_dir.rstrip("/")]
     for t in TABLES:
         p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
         fs = p.getFileSystem(conf)
         if fs.exists(p):
-            st = fs.getFileStatus(p)
-            parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
-    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:20]
+            found = fs.listFiles(p, True)
+            while found.hasNext():
+                st = found.next()
+                parts.append(f"{t}:{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha256("|".join(sorted(parts)).encode()).hexdigest()[:20]
 
 
 def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
@@ -75,7 +80,7 @@ def materialize_view(spark: SparkSession, view: DataFrame, path: str, name: str)
     # enough files for the target file size, and at least one per core
     # (never files of fewer than ~1000 rows) so the scans run in parallel
     par = int(spark.sparkContext.defaultParallelism)
-    files = max(1, min(4096, max(-(-n // rows_per_file), min(par, n // 1000))))
+    files = max(1, -(-n // rows_per_file), min(par, n // 1000))
     if date_col:
         out = view.repartitionByRange(files, date_col).sortWithinPartitions(date_col)
     else:

@@ -32,30 +32,29 @@ def daily_event_counts(spark: SparkSession, events_path: str, schema, out_path:
                        checkpoint: str | None = None) -> DataFrame:
     """ST2: daily tumbling-window counts/sums per event type.
 
-    ``readStream`` (file source) -> ``withWatermark`` -> per-day aggregation
-    in *complete* mode; each micro-batch rewrites the small
-    result table (one row per day and type), so the published table always
-    equals the batch aggregate over what has arrived.  State is bounded by
-    the number of open windows.
+    ``readStream`` (file source) -> ``withWatermark`` -> ``window`` of one day
+    -> update mode: each micro-batch upserts the windows it changed into the
+    published table.  Windows older than the watermark leave the state, and
+    rows for them (later than ``watermark``) are dropped.
     """
     out_path = out_path or scratch_path(spark, "daily_event_counts")
     checkpoint = checkpoint or scratch_path(spark, "daily_event_counts_ckpt")
     src = _file_stream(spark, events_path, schema, max_files_per_trigger)
-    # The day is taken from the wall-clock (timestamp_ntz) value, so the
-    # buckets do not depend on the session time zone; the watermark needs an
-    # instant-typed column.
-    agg = (src.withColumn("_event_time", F.col("ts").cast("timestamp"))
+    # the session runs in UTC (session.py), so a wall-clock day is a UTC day
+    instant = F.col("ts").cast("timestamp")
+    agg = (src.withColumn("_event_time", instant)
               .withWatermark("_event_time", watermark)
-              .groupBy(F.to_date("ts").alias("day"), "event_type")
+              .groupBy(F.window("_event_time", "1 day").alias("w"), "event_type")
               .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.select("day", "event_type", "n", "total").write.mode("overwrite").parquet(out_path)
+        rows = batch.select(F.col("w.start").cast("date").alias("day"), "event_type", "n", "total")
+        upsert_table(spark, rows.withColumn("key", F.concat_ws("|", "day", "event_type")), out_path, key="key", order="n")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(publish)
+    q = (agg.writeStream.outputMode("update").foreachBatch(publish)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return read_upserted(spark, out_path).drop("key")
 
 
 def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str | None = None,
@@ -72,7 +71,7 @@ def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str
     emb = V.embed(src.select(F.col(key).alias("id"), text_col, "lang", "source"), text_col)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        # only the hash buckets touched by this micro-batch are rewritten
+        # the batch is embedded once (upsert_table keeps it); only the buckets it touches are rewritten
         upsert_table(spark, batch.select("id", "lang", "source", "embedding"), index_path)
 
     q = (emb.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)

@@ -102,6 +102,8 @@ def test_refresh_gate_keeps_old_table_on_failure(spark):
     with pytest.raises(Q.ValidationError):
         K.refresh_summary(spark, bad, path)
     assert spark.read.parquet(path).first()["availability_30_rate"] == 0.5
+    reports = {r["outcome"]: r["bad_availability"] for r in spark.read.json(f"{path}__reports").collect()}
+    assert reports == {"published": 0, "refused": 1}
 
 
 def test_calendar_rates_null_available_counts_as_zero(spark):
