@@ -14,6 +14,9 @@ position. Decoding is exact for every text.
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -115,12 +118,10 @@ class Subwords:
 
     def pattern(self):
         """Regular expression of the units a normalised text is cut into."""
-        import regex
-
-        joined = regex.escape(self.joined.replace(SPACE, ""), special_only=True)
+        joined = re.escape(self.joined.replace(SPACE, ""))
         if self.crosses:
-            return regex.compile(f"[{joined}{SPACE}]+|.", regex.DOTALL)
-        return regex.compile(f"{SPACE}*[{joined}]+|{SPACE}+|.", regex.DOTALL)
+            return re.compile(f"[{joined}{SPACE}]+|.", re.DOTALL)
+        return re.compile(f"{SPACE}*[{joined}]+|{SPACE}+|.", re.DOTALL)
 
     def units(self, text: str, find) -> list[str]:
         """The units of a text. A U+2581 of the text itself is the unit '', which
@@ -136,23 +137,25 @@ class Subwords:
             out += [*find(part.replace(" ", SPACE)), ""]
         return out[:-1]
 
-    def segment(self, units: list[str]) -> list[np.ndarray]:
-        """The pieces of each unit; units of one length advance together."""
-        out: list = [None] * len(units)
-        length = np.array([len(u) for u in units])
+    def segment(self, units: list[str]) -> tuple[list[str], list[np.ndarray], list[np.ndarray]]:
+        """(units by length, their pieces back to back, numbers of pieces); units
+        of one length advance together."""
+        length = np.fromiter(map(len, units), np.int64, len(units))
         order = np.argsort(length, kind="stable")
-        cut = np.flatnonzero(np.diff(length[order], prepend=-1))
-        for group in np.split(order, cut[1:]) if len(order) else ():
+        ids, sizes = [], []
+        for group in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else ():
             n = int(length[group[0]])
             rows = max(1, 2_000_000 // (n + 1))
             for i in range(0, len(group), rows):
                 part = group[i:i + rows]
                 code = np.frombuffer("".join([units[j] for j in part]).encode("utf-32-le"), np.uint32).reshape(len(part), n)
-                for j, ids in zip(part, self.viterbi(code)):
-                    out[j] = ids
-        return out
+                flat, size = self.viterbi(code)
+                ids.append(flat)
+                sizes.append(size)
+        return [units[j] for j in order], ids, sizes
 
-    def viterbi(self, code: np.ndarray) -> list[np.ndarray]:
+    def viterbi(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces of all rows back to back, number of each row's) for rows of code points."""
         rows, n = code.shape
         best = np.full((n + 1, rows), -np.inf)
         best[0] = 0.0
@@ -188,18 +191,16 @@ class Subwords:
             steps.append(np.where(live, last[at, row], -2))
             marks.append(at.copy())
             at = np.where(live, at - size[at, row], 0)
-        steps, marks = np.array(steps[::-1]), np.array(marks[::-1])
-        out = []
-        for r in range(rows):
-            ids = steps[:, r]
-            use = ids != -2
-            if (ids[use] >= 0).all():
-                out.append(ids[use].astype(np.int32))
-            else:
-                parts = [self.byte_ids[list(chr(int(code[r, e - 1])).encode())] if i == -1 else np.array([i], np.int32)
-                         for i, e in zip(ids[use], marks[use, r])]
-                out.append(np.concatenate(parts).astype(np.int32))
-        return out
+        steps, marks = np.array(steps[::-1]).T, np.array(marks[::-1]).T
+        use = steps != -2
+        flat, sizes = steps[use].astype(np.int32), use.sum(axis=1)
+        if (flat >= 0).all():
+            return flat, sizes
+        # characters without a piece: their UTF-8 bytes
+        row = np.repeat(np.arange(rows), sizes)
+        parts = [self.byte_ids[list(chr(int(code[r, end - 1])).encode())] if i < 0 else np.array([i], np.int32)
+                 for i, r, end in zip(flat, row, marks[use])]
+        return np.concatenate(parts), np.bincount(row, [len(x) for x in parts], minlength=rows).astype(np.int64)
 
     def encode(self, texts: list[str], memory: dict) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, n+1 offsets) of some texts; ``memory`` keeps units' pieces."""
@@ -213,11 +214,11 @@ class Subwords:
             known = self.forget(memory)
             new = list({u for units in cut for u in units if u})
         if new:
-            found = self.segment(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            memory["ids"] = np.concatenate([memory["ids"], *found])
-            memory["at"] = np.concatenate([memory["at"], memory["at"][-1] + np.cumsum([len(x) for x in found])])
-        number = np.fromiter((known[u] for units in cut for u in units), np.int64)
+            names, ids, sizes = self.segment(new)
+            known.update(zip(names, range(len(known), len(known) + len(names))))
+            memory["ids"] = np.concatenate([memory["ids"], *ids])
+            memory["at"] = np.concatenate([memory["at"], memory["at"][-1] + np.cumsum(np.concatenate(sizes))])
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64)
         first, size = memory["at"][number], memory["at"][number + 1] - memory["at"][number]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = memory["ids"][np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)]
