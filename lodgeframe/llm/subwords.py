@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from lodgeframe.llm import textscan as ts
 from lodgeframe.llm.common import lists, map_batches, prepare, table
@@ -266,8 +267,7 @@ def encode(docs: DataFrame, text: str, model: str = MODEL) -> DataFrame:
     prepare(spark)
     data = spark.sparkContext.broadcast(load(model))
     keep = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    shape = docs.select(*keep, F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded"))
-    schema = shape.schema
+    schema = StructType(list(docs.select(*keep).schema)).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
     state: dict = {}
 
     def run(batch):
