@@ -67,7 +67,7 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("split", [64, 1 << 20])
+@pytest.mark.parametrize("split", [4000, 1 << 20])
 def test_archives_with_false_records(spark, split):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     big = "x" * 1200
