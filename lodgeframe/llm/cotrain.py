@@ -107,48 +107,70 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def newton(rows: DataFrame, x: str, label: str, scale: tuple, start: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression of ``label`` (null: not used) on the array column
-    ``x``: ``STEPS`` guarded Newton steps, each one pass over ``rows``."""
-    d = len(start)
-    ridge = np.full(d, RIDGE)
-    ridge[-1] = 1e-6
-    w, best, best_loss = start, start, np.inf
-    for _ in range(STEPS):
-        sums = normal_equations(rows, x, label, scale, w)
-        loss = sums[-1] + 0.5 * (ridge * w * w).sum()
-        if loss > best_loss:            # overshot: go half way back
-            w = (w + best) / 2
-            continue
-        best, best_loss = w, loss
+class Fit:
+    """One logistic regression on its way: the array column ``x``, the column
+    ``label`` (null: not used), the scale of ``x`` and the weights so far."""
+
+    def __init__(self, x: str, label: str, scale: tuple, start: np.ndarray):
+        self.x, self.label, self.scale, self.w = x, label, scale, start
+        self.best, self.best_loss, self.done = start, np.inf, False
+        self.ridge = np.full(len(start), RIDGE)
+        self.ridge[-1] = 1e-6
+
+    def step(self, sums: np.ndarray) -> None:
+        """A guarded Newton step from Hessian, gradient and log loss at ``w``."""
+        d = len(self.w)
+        loss = sums[-1] + 0.5 * (self.ridge * self.w * self.w).sum()
+        if loss > self.best_loss:            # overshot: go half way back
+            self.w = (self.w + self.best) / 2
+            return
+        self.done = self.best_loss - loss < 1e-4 * abs(loss)
+        self.best, self.best_loss = self.w, loss
         h, g = sums[:d * d].reshape(d, d), sums[d * d:-1]
-        step = np.linalg.solve(h + np.diag(ridge), g - ridge * w)
-        w = w + step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
-    return best
+        move = np.linalg.solve(h + np.diag(self.ridge), g - self.ridge * self.w)
+        self.w = self.w + move * min(1.0, 4.0 / max(np.abs(move).max(), 1e-9))
+
 
+def newton(rows: DataFrame, fits: list[Fit]) -> list[np.ndarray]:
+    """Weights of some ridge logistic regressions over the same rows: at most
+    ``STEPS`` steps, each one pass for all that have not settled."""
+    for _ in range(STEPS):
+        live = [f for f in fits if not f.done]
+        if not live:
+            break
+        for f, sums in zip(live, normal_equations(rows, live)):
+            f.step(sums)
+    return [f.best for f in fits]
 
-def normal_equations(rows: DataFrame, x: str, label: str, scale: tuple, w: np.ndarray) -> np.ndarray:
-    """Hessian, gradient and log loss at ``w``, back to back."""
-    d = len(w)
+
+def normal_equations(rows: DataFrame, fits: list[Fit]) -> list[np.ndarray]:
+    """Of each fit: Hessian, gradient and log loss at its weights, back to back."""
+    parts = [(f.scale, f.w) for f in fits]
+    sizes = [len(w) ** 2 + len(w) + 1 for _, w in parts]
 
     def run(batches):
-        total = np.zeros(d * d + d + 1)
+        totals = [np.zeros(n) for n in sizes]
         for batch in batches:
-            y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            m = scaled(matrix(batch.column(0), d), scale)
-            z = m @ w
-            p = sigmoid(z)
-            total[-1] += (np.logaddexp(0, z) - y * z).sum()
-            total[:d * d] += ((m * (p * (1 - p))[:, None]).T @ m).ravel()
-            total[d * d:-1] += m.T @ (y - p)
+            for i, (total, (scale, w)) in enumerate(zip(totals, parts)):
+                d, y = len(w), batch.column(2 * i + 1).to_numpy(zero_copy_only=False).astype(float)
+                known = ~np.isnan(y)
+                m, y = scaled(matrix(batch.column(2 * i), d)[known], scale), y[known]
+                z = m @ w
+                p = sigmoid(z)
+                total[-1] += (np.logaddexp(0, z) - y * z).sum()
+                total[:d * d] += ((m * (p * (1 - p))[:, None]).T @ m).ravel()
+                total[d * d:-1] += m.T @ (y - p)
+        total = np.concatenate(totals)
         yield as_batch({"cell": np.arange(len(total)), "value": total}, schema)
 
     schema = pa.schema([("cell", pa.int64()), ("value", pa.float64())])
-    found = (rows.where(F.col(label).isNotNull()).select(x, F.col(label).cast("double")).mapInArrow(run, "cell long, value double")
+    labelled = F.coalesce(*(F.col(f.label) for f in fits)).isNotNull()
+    columns = [c for i, f in enumerate(fits) for c in (F.col(f.x).alias(f"x{i}"), F.col(f.label).cast("double").alias(f"y{i}"))]
+    found = (rows.where(labelled).select(columns).mapInArrow(run, "cell long, value double")
              .groupBy("cell").agg(F.sum("value").alias("value")).toPandas())
-    out = np.zeros(d * d + d + 1)
+    out = np.zeros(sum(sizes))
     out[found["cell"].to_numpy()] = found["value"].to_numpy()
-    return out
+    return np.split(out, np.cumsum(sizes)[:-1])
 
 
 def matrix(column, d: int) -> np.ndarray:
@@ -215,11 +237,9 @@ def train(rows: DataFrame) -> dict:
     first = rows.first()
     if first is None or not rows.where("label is not null").limit(1).count():
         return {}
-    views = {}
-    for name in ("content", "metadata"):
-        d = len(first[name])
-        scale = moments(rows, name, d)
-        views[name] = (scale, newton(rows, name, "label", scale, np.zeros(d)))
+    scales = {name: moments(rows, name, len(first[name])) for name in ("content", "metadata")}
+    fits = newton(rows, [Fit(name, "label", scale, np.zeros(len(scale[0]))) for name, scale in scales.items()])
+    views = {name: (scales[name], w) for name, w in zip(scales, fits)}
     for _ in range(ROUNDS):
         scored = with_scores(rows, views)
         pseudo = {}
@@ -228,12 +248,12 @@ def train(rows: DataFrame) -> dict:
             z = F.col(f"z_{name}")
             pseudo[name] = F.coalesce("label", F.when(z <= F.lit(float(low)), 0).when(z >= F.lit(float(high)), 1))
         shared = stage(scored.select("label", *views, *(pseudo[name].alias(f"by_{name}") for name in views)), "cotrain-round")
-        views = {name: (views[name][0], newton(shared, name, f"by_{other}", views[name][0], views[name][1]))
-                 for name, other in (("content", "metadata"), ("metadata", "content"))}
+        fits = newton(shared, [Fit(name, f"by_{other}", *views[name]) for name, other in (("content", "metadata"), ("metadata", "content"))])
+        views = {name: (scales[name], w) for name, w in zip(scales, fits)}
     z = with_scores(rows.where("label is not null"), views)
     both = stage(z.select("label", F.array("z_content", "z_metadata", F.lit(1.0)).alias("z")), "cotrain-views")
     unit = (np.zeros(3), np.ones(3))
-    return {"views": views, "mix": newton(both, "z", "label", unit, np.array([1.0, 0.0, 0.0]))}
+    return {"views": views, "mix": newton(both, [Fit("z", "label", unit, np.array([1.0, 0.0, 0.0]))])[0]}
 
 
 def features(docs: DataFrame, text: str, source: str, lang: str, n_chars: str, extra: list[str]) -> DataFrame:
