@@ -29,15 +29,13 @@ VERSION = "WARC/1.1"
 NEWLINE = "\r\n"
 #: equal payloads are stored once from this size
 REVISIT_BYTES = 1000
-#: payload that one archive file holds, about
-ARCHIVE_BYTES = 8 << 20
 # fixed value: the profile of revisits by equal payload digest
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
 
 def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html",
-          least: int = REVISIT_BYTES, date: str = DATE, archive_bytes: int = ARCHIVE_BYTES) -> None:
+          least: int = REVISIT_BYTES, date: str = DATE) -> None:
     """Write ``pages`` as archives below ``path``.
 
     The payload is the text in UTF-8 (null: empty). Of equal payloads of at least
@@ -55,8 +53,6 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     copies = (plan.where((F.col("n") >= least) & F.col("page_id").isNotNull()).groupBy("digest", "n")
               .agg(F.max("page_id").alias("response"), F.count("*").alias("m")).where("m > 1").drop("m"))
     revisits = (plan.join(copies, ["digest", "n"]).where("page_id <> response").select("page_id", "digest", "response").distinct())
-    size = plan.agg(F.sum("n")).first()[0] or 0
-    files = max(1, -(-size // archive_bytes))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(NEWLINE))
     ref = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     is_revisit = F.col("response").isNotNull()
@@ -71,7 +67,7 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
         F.when(is_revisit, F.concat(line("WARC-Refers-To", ref("response")), line("WARC-Profile", F.lit(PROFILE)))).otherwise(""),
         line("Content-Type", F.lit("application/http;msgtype=response")),
         line("Content-Length", F.octet_length("block").cast("string")), F.lit(NEWLINE))
-    (rows.join(revisits, ["page_id", "digest"], "left").repartition(files)
+    (rows.join(revisits, ["page_id", "digest"], "left")
      .withColumn("block", block).select(F.concat(header, "block").alias("record"))
      .write.option("lineSep", NEWLINE * 2).text(path))
 
@@ -83,10 +79,9 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").cast("binary").alias("value")))
 
 
-def with_offsets(spark: SparkSession, path: str, keep=None) -> DataFrame:
-    """(file, offset, value) of all lines, or those for which ``keep(value)`` holds.
-    A line's offset is the size of the file's earlier splits and, in its own
-    split, of the lines before it."""
+def located(spark: SparkSession, path: str, keep=None) -> DataFrame:
+    """(file, split, value, within) of all lines, or those for which ``keep(value)``
+    holds; ``within`` is the size of the split's lines before."""
 
     def run(batches):
         at: dict[tuple, int] = {}
@@ -103,11 +98,16 @@ def with_offsets(spark: SparkSession, path: str, keep=None) -> DataFrame:
                             "within": pa.array(offsets, pa.int64())}, schema).take(pick)
 
     schema = pa.schema([("file", pa.string()), ("split", pa.int64()), ("value", pa.binary()), ("within", pa.int64())])
+    return lines(spark, path).mapInArrow(run, "file string, split long, value binary, within long")
+
+
+def with_offsets(spark: SparkSession, path: str, keep) -> DataFrame:
+    """``located`` lines with their file offsets: the sizes of the file's earlier
+    splits are added."""
     sizes = lines(spark, path).groupBy("file", "split").agg(F.sum(F.octet_length("value") + 1).alias("size"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("file", "split", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    found = lines(spark, path).mapInArrow(run, "file string, split long, value binary, within long")
-    return found.join(bases, ["file", "split"]).select("file", (F.col("base") + F.col("within")).alias("offset"), "value")
+    return located(spark, path, keep).join(bases, ["file", "split"]).withColumn("offset", F.col("base") + F.col("within"))
 
 
 def interesting(value: bytes) -> bool:
@@ -124,7 +124,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     grouped = (found.withColumn("start", F.last(starts, ignorenulls=True).over(in_file)).where("start is not null")
                .groupBy("file", F.col("start").alias("offset"))
                .agg(F.min(F.when(F.col("text") == "\r", F.col("offset"))).alias("blank"),
-                    F.array_sort(F.collect_list(F.struct(F.col("offset").alias("at"), "text"))).alias("lines"))
+                    F.array_sort(F.collect_list(F.struct(F.col("offset").alias("at"), "text", "split", "within"))).alias("lines"))
                .where("blank is not null"))
     pairs = F.transform(F.filter("lines", lambda x: (x["at"] > F.col("offset")) & (x["at"] < F.col("blank"))),
                         lambda x: F.struct(F.lower(F.trim(F.substring_index(x["text"], ":", 1))).alias("name"),
@@ -132,7 +132,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     get = lambda name: F.try_element_at(F.filter("pairs", lambda p: p["name"] == name), F.lit(1))["value"]
     out = grouped.withColumn("pairs", pairs).withColumn("length", get("content-length").try_cast("long"))
     return (out.where("length >= 0")
-            .select("file", "offset", (F.col("blank") + 2).alias("body"), "length",
+            .select("file", "offset", F.col("lines")[0]["split"].alias("split"), F.col("lines")[0]["within"].alias("within"),
+                    (F.col("blank") + 2).alias("body"), "length",
                     (F.col("blank") + 2 + F.col("length") + len(NEWLINE) * 2).alias("next"),
                     get("warc-type").alias("type"), get("warc-record-id").alias("id"), get("warc-refers-to").alias("refers_to"),
                     F.regexp_replace(get("warc-payload-digest"), "^sha1:", "").alias("digest")))
@@ -151,8 +152,8 @@ def reachable(found: DataFrame) -> DataFrame:
 
 
 def cut_payloads(batches):
-    """Streams (file, offset, is_line, ..) in file order: a record row, then the
-    lines of its block; emits each record with its payload's size and SHA-1."""
+    """Streams rows in file order: a record row, then the lines from its first one
+    on; emits each record with its payload's size and SHA-1."""
     names = ["file", "offset", "type", "id", "refers_to", "digest"]
     schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), *((c, pa.string()) for c in names[2:]),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
@@ -164,19 +165,22 @@ def cut_payloads(batches):
 
     for batch in batches:
         cols = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
-        offset, is_line = cols["offset"].to_pylist(), cols["is_line"].to_pylist()
+        is_line = cols["is_line"].to_pylist()
         for i in range(batch.num_rows):
             if not is_line[i]:
                 close()
                 body = cols["body"][i].as_py()
-                record = {"row": [cols[c][i].as_py() for c in names], "file": cols["file"][i].as_py(), "body": body,
+                record = {"row": [cols[c][i].as_py() for c in names], "at": cols["offset"][i].as_py(), "body": body,
                           "end": body + cols["length"][i].as_py(), "n": 0, "sha1": hashlib.sha1(), "head": True}
-            elif record is not None and record["body"] <= offset[i] < record["end"]:
-                line = cols["value"][i].as_buffer().to_pybytes() + b"\n"
+            elif record is not None and record["at"] < record["end"]:
+                line, at = cols["value"][i].as_buffer().to_pybytes() + b"\n", record["at"]
+                record["at"] += len(line)
+                if at < record["body"]:
+                    continue
                 if record["head"]:                       # the HTTP header ends with an empty line
                     record["head"] = line != b"\r\n"
                 else:
-                    line = line[:record["end"] - offset[i]]
+                    line = line[:record["end"] - at]
                     record["n"] += len(line)
                     record["sha1"].update(line)
         if len(done) >= 1000:
@@ -199,13 +203,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     prepare(spark)
     found = stage(candidates(spark, path), "warc-candidates")
     records = found.join(reachable(found), ["file", "offset"], "left_semi")
-    columns = ["file", "offset", "is_line", "value", "body", "length", "type", "id", "refers_to", "digest"]
+    columns = ["file", "split", "within", "is_line", "value", "offset", "body", "length", "type", "id", "refers_to", "digest"]
     null = lambda kind: F.lit(None).cast(kind)
-    text = with_offsets(spark, path).select(
-        "file", "offset", F.lit(True).alias("is_line"), "value", null("long").alias("body"), null("long").alias("length"),
-        *(null("string").alias(c) for c in columns[6:]))
+    text = located(spark, path).select("file", "split", "within", F.lit(True).alias("is_line"), "value",
+                                       *(null("long").alias(c) for c in columns[5:8]), *(null("string").alias(c) for c in columns[8:]))
     heads = records.withColumn("is_line", F.lit(False)).withColumn("value", null("binary")).select(columns)
-    cut = stage(heads.union(text).repartition("file").sortWithinPartitions("file", "offset", "is_line")
+    cut = stage(heads.union(text).repartition("file").sortWithinPartitions("file", "split", "within", "is_line")
                 .mapInArrow(cut_payloads, "file string, offset long, type string, id string, refers_to string, digest string, "
                                           "payload_bytes long, payload_digest string"), "warc-records")
     number = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).try_cast("long")

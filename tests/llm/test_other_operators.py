@@ -78,7 +78,7 @@ def test_archives_with_false_records(spark, split):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
         path = scratch_path(spark, "warc-test")
-        warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash")), path, archive_bytes=100_000)
+        warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash")), path)
         got = [tuple(r) for r in warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
