@@ -89,5 +89,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "path_exists",
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, through Hadoop FileSystem."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(hpath).isDirectory())
+
+
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "path_exists", "is_folder",
            "DEFAULT_CONF"]

@@ -15,37 +15,40 @@ from pyspark.sql import functions as F
 
 from ..operators import vectors as V
 from ..operators.sinks import read_upserted, upsert_table
-from ..session import scratch_path
+from ..session import is_folder, scratch_path
 
 
 def _file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int):
-    """File-source stream over a directory, or over one file via a glob filter."""
+    """File-source stream over a folder of files, or over one file via a glob filter."""
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    if path.rstrip("/").endswith(".parquet"):
+    if not is_folder(spark, path):
         d, name = path.rstrip("/").rsplit("/", 1)
         return r.option("pathGlobFilter", name).parquet(d)
     return r.parquet(path)
 
 
 def daily_event_counts(spark: SparkSession, events_path: str, schema, out_path: str | None = None,
-                       watermark: str = "1 day", max_files_per_trigger: int = 1,
+                       watermark: str | None = "1 day", max_files_per_trigger: int = 1,
                        checkpoint: str | None = None) -> DataFrame:
     """ST2: daily tumbling-window counts/sums per event type.
 
     ``readStream`` (file source) -> ``withWatermark`` -> ``window`` of one day
     -> update mode: each micro-batch upserts the windows it changed into the
     published table.  Windows older than the watermark leave the state, and
-    rows for them (later than ``watermark``) are dropped.
+    rows for them (later than ``watermark``) are dropped.  Without a watermark
+    every window stays in the state (one row per day and event type) and no row
+    is late, so files in any order give the batch aggregate.
     """
     out_path = out_path or scratch_path(spark, "daily_event_counts")
     checkpoint = checkpoint or scratch_path(spark, "daily_event_counts_ckpt")
     src = _file_stream(spark, events_path, schema, max_files_per_trigger)
     # the session runs in UTC (session.py), so a wall-clock day is a UTC day
     instant = F.col("ts").cast("timestamp")
-    agg = (src.withColumn("_event_time", instant)
-              .withWatermark("_event_time", watermark)
-              .groupBy(F.window("_event_time", "1 day").alias("w"), "event_type")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+    timed = src.withColumn("_event_time", instant)
+    if watermark is not None:
+        timed = timed.withWatermark("_event_time", watermark)
+    agg = (timed.groupBy(F.window("_event_time", "1 day").alias("w"), "event_type")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
         rows = batch.select(F.col("w.start").cast("date").alias("day"), "event_type", "n", "total")
