@@ -50,6 +50,11 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return ((c * c).sum(axis=1) - 2 * x @ c.T).argmin(axis=1)
 
 
+def rounding(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each row of ``q``, more than two ways to sum its inner product with a row of ``v`` differ."""
+    return 1e-9 * np.maximum(1.0, np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max(initial=0))
+
+
 def visit(s1: np.ndarray, s2: np.ndarray, sizes: np.ndarray, wanted: int) -> list[tuple[int, int]]:
     """Non-empty cells (i, j) by falling s1[i] + s2[j] until they hold ``wanted`` vectors."""
     o1, o2 = np.argsort(-s1, kind="stable"), np.argsort(-s2, kind="stable")
@@ -132,6 +137,7 @@ def search(vectors: DataFrame, vec_id: str, embedding: str, is_query: Column, to
         qs = batch.column(0).to_numpy()
         out = {c: [] for c in ("c1", "block", "query", "c2s", "least")}
         rows = []
+        slack = rounding(m, x)
         for i in range(len(m)):
             cells: dict[int, list[int]] = {}
             visited = np.zeros(sizes.shape, bool)
@@ -142,7 +148,7 @@ def search(vectors: DataFrame, vec_id: str, embedding: str, is_query: Column, to
             least = np.partition(seen, len(seen) - top)[len(seen) - top] if len(seen) >= top else -np.inf
             for a, c2s in cells.items():
                 for block in range(int(blocks[a])):
-                    for name, value in zip(out, (a, block, int(qs[i]), c2s, float(least) - 1e-9)):
+                    for name, value in zip(out, (a, block, int(qs[i]), c2s, float(least - slack[i]))):
                         out[name].append(value)
                     rows.append(i)
         yield out | {"v": batch.column(1).take(pa.array(rows, pa.int64()))}
@@ -155,12 +161,13 @@ def search(vectors: DataFrame, vec_id: str, embedding: str, is_query: Column, to
         out = []
         for a in range(0, len(q), 256):
             fast = q[a:a + 256] @ v.T
+            slack = rounding(q[a:a + 256], v)
             for i, c2s in enumerate(asking["c2s"][a:a + 256].to_pylist()):
                 mine = a + i
-                ok = np.flatnonzero(np.isin(c2, c2s) & (ids != qs[mine]) & (fast[i] >= least[mine]))
+                ok = np.flatnonzero(np.isin(c2, c2s) & (ids != qs[mine]) & (fast[i] >= least[mine] - slack[i]))
                 if len(ok) > top:       # leave ties and the last bits to the exact sums below
                     edge = np.partition(fast[i][ok], len(ok) - top)[len(ok) - top]
-                    ok = ok[fast[i][ok] >= edge - 1e-9 * max(1.0, abs(edge))]
+                    ok = ok[fast[i][ok] >= edge - slack[i]]
                 score = (v[ok] * q[mine]).sum(axis=1)
                 best = np.lexsort((ids[ok], -score))[:top]
                 out.append(as_batch({"query_id": np.full(len(best), qs[mine]), "vec_id": ids[ok][best], "score": score[best]}, schema))
