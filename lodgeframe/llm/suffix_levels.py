@@ -1,4 +1,7 @@
-"""Substring dedup with a logarithmic family of sparse suffix arrays.
+"""Substring dedup with hashed minimizer segments, kept in levels as a sparse
+suffix array would be. No array holds suffixes in order of their bytes: equality
+of hashes finds the repeats, and sorting all suffixes would shuffle about 28
+times the input.
 
 Every byte covered by a ``span``-byte string that also starts elsewhere is a
 repeat. The index keeps sampled suffixes only: of each ``span``-byte window the
@@ -8,10 +11,10 @@ share a minimizer form its segment; an entry is (context, segment, place),
 ordered by the hashes of both, so equal contexts and equal segments are
 adjacent.
 
-New batches become a sorted array each. ``SuffixLevels.insert`` merge-scans the
+New batches become an array each, bucketed by hash. ``SuffixLevels.insert`` merge-scans the
 array with levels of equal size and merges them into one of twice the size, as
 in a binary counter, so an entry is rewritten a logarithmic number of times. A
-level holds each distinct segment with its number of places.
+whole table comes in ``BATCHES`` batches: one merge, at most two levels. A level holds each distinct segment with its number of places.
 
 Entries whose segment occurs twice are repeats as a whole. Where a context
 occurs in different segments (a repeat ends inside), the segments are cut into
