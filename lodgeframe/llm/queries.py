@@ -7,7 +7,7 @@ held-out labels.
 
 from __future__ import annotations
 
-from lodgeframe.llm import (chat, cotrain, ctw, decontam, jaccard_join, multi_index, subwords, suffix_levels,
+from lodgeframe.llm import (chat, cotrain, ctw, decontam, infill, jaccard_join, multi_index, subwords, suffix_levels,
                             toxicity, warc)
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_quality": cotrain.op8_quality,
     "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
     "op10_language_model": ctw.op10_language_model,
+    "op11_fill_in_middle": infill.op11_fill_in_middle,
 }
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -101,4 +102,21 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
                coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, d.h))) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+                          regexp_extract_all(coalesce(text, ''),
+                                             '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+        h AS (SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                     CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+        s AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                               OR h3 % 100 >= 50 THEN 'plain'
+                          WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+        p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+                     array_to_string(u[b + 1:], '') AS e FROM s)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || e || '<M>' || m
+                                ELSE '<S>' || e || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM p""",
 }
