@@ -101,6 +101,17 @@ def lists(values, offsets, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+def fresh_names(columns, *names: str) -> list[str]:
+    """Working column names that no column of a table has, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_mod(key: str, n: int):
     """crc32 of a key's text, modulo ``n`` (null keys count as the text '')."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n

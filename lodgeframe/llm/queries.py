@@ -7,8 +7,8 @@ held-out labels.
 
 from __future__ import annotations
 
-from lodgeframe.llm import (chat, cotrain, ctw, decontam, infill, jaccard_join, multi_index, subwords, suffix_levels,
-                            toxicity, warc)
+from lodgeframe.llm import (chat, cotrain, ctw, decontam, exact_copies, infill, jaccard_join, multi_index, subwords,
+                            suffix_levels, toxicity, warc)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -22,6 +22,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_levels.op9_suffix_dedup,
     "op10_language_model": ctw.op10_language_model,
     "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op12_exact_dedup": exact_copies.op12_exact_dedup,
 }
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -119,4 +120,10 @@ ORACLES: dict[str, str] = {
                sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || e || '<M>' || m
                                 ELSE '<S>' || e || '<P>' || p || '<M>' || m END) AS output_sha256,
                sha256(text) AS restored_sha256 FROM p""",
+    "op12_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+               count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents""",
 }
