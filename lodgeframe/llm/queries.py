@@ -7,8 +7,8 @@ held-out labels.
 
 from __future__ import annotations
 
-from lodgeframe.llm import (chat, cotrain, ctw, decontam, exact_copies, infill, jaccard_join, multi_index, subwords,
-                            suffix_levels, toxicity, warc)
+from lodgeframe.llm import (chat, cotrain, ctw, decontam, exact_copies, infill, jaccard_join, multi_index,
+                            resampling, subwords, suffix_levels, toxicity, warc)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -23,6 +23,7 @@ QUERIES = {
     "op10_language_model": ctw.op10_language_model,
     "op11_fill_in_middle": infill.op11_fill_in_middle,
     "op12_exact_dedup": exact_copies.op12_exact_dedup,
+    "op13_importance_resampling": resampling.op13_importance_resampling,
 }
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,4 +127,34 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents""",
+    # CRC-32 from its polynomial: a table of the byte steps, folded over the bytes of each distinct run
+    "op13_importance_resampling": f"""
+        WITH steps AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+                         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        texts AS (SELECT 'd' AS kind, doc_id AS id, {_words('text', _ALNUM)} AS w FROM documents
+                  UNION ALL SELECT 'b', 0, {_words('text', _ALNUM)} FROM benchmark),
+        runs AS (SELECT kind, id, array_to_string(w[i:i + k - 1], ' ') AS g
+                 FROM (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                       FROM texts, (VALUES (1), (2), (3)) v(k)) r),
+        counted AS (SELECT kind, id, g, count(*) AS n FROM runs GROUP BY ALL),
+        codes AS (SELECT g, list_reduce(list_prepend(4294967295,
+                              [CAST('0x' || hex(encode(g))[2 * i + 1:2 * i + 2] AS BIGINT) for i in range(strlen(g))]),
+                              lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])) AS c
+                  FROM (SELECT DISTINCT g FROM counted) u, steps),
+        hashed AS (SELECT kind, id, xor(c, 4294967295) % 10000 AS bucket, sum(n) AS n FROM counted JOIN codes USING (g) GROUP BY ALL),
+        sums AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE kind = 'b'), 0) AS t
+                 FROM hashed GROUP BY bucket),
+        totals AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM sums),
+        gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (ss + 10000) AS DOUBLE)
+                                                      / CAST((s + 1) * (tt + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM sums, totals),
+        weights AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM hashed JOIN gains USING (bucket)
+                    WHERE kind = 'd' GROUP BY id),
+        scored AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+                          CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                          CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT)
+                               + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+                   FROM documents JOIN texts ON kind = 'd' AND id = doc_id LEFT JOIN weights ON weights.id = doc_id)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_words >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_words >= 20) * 5 // 100 THEN place END AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM scored) p""",
 }
