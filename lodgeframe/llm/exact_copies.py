@@ -36,6 +36,8 @@ RESULTS = ("keep_id", "group_size", "kept")
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # logs of small state partitions take the disk they need, not preallocated blocks of megabytes
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # all state partitions of an executor share one bounded cache
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
