@@ -7,14 +7,14 @@ temp folder, so a lost executor or a restarted driver sees the same files.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sort_small
 from ..session import path_exists, scratch_path
+from . import keyed
 from . import quality as Q
+from . import versions as V
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
@@ -57,56 +57,27 @@ def read_json_sidecar(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def publish_by_rename(spark: SparkSession, staged_path: str, table_path: str) -> None:
-    """Swap a validated staging folder into place with metadata operations.
-
-    The previous version is moved aside first and removed only after the
-    new one is in place, so a failure mid-swap leaves either the old or the
-    new table (recoverable from ``_<table>__previous``), never a partial one.
-    No data is copied.
-    """
-    fs, dst = _fs(spark, table_path)
-    _, src = _fs(spark, staged_path)
-    parent, _, name = table_path.rstrip("/").rpartition("/")
-    _, old = _fs(spark, f"{parent}/_{name}__previous")          # readers skip names with a leading underscore
-    if fs.exists(old):
-        fs.delete(old, True)
-    if fs.exists(dst) and not fs.rename(dst, old):
-        raise OSError(f"could not move {table_path} aside")
-    if not fs.rename(src, dst):
-        if fs.exists(old):
-            fs.rename(old, dst)
-        raise OSError(f"could not publish {staged_path} as {table_path}")
-    if fs.exists(old):
-        fs.delete(old, True)
-
-
 def refresh_summary(spark: SparkSession, summary: DataFrame, table_path: str | None = None):
-    """SK7 + VA2 + VA3: stage -> validate the staged copy -> swap.
-
-    The summary is written to a staging folder first; only when the
-    validation row passes is it swapped into the published location (a
-    rename, no copy), so a failing refresh never replaces a good table --
-    the source replaced the view first and validated after.  Either way a
-    report row is appended to ``<table>__reports`` before a failed refresh
-    raises.  Returns ``(published DataFrame, report row)``.
+    """SK7 + VA2 + VA3: stage -> validate the staged version -> commit its name.
+
+    The summary is written as a version folder of its own; only when the
+    validation row passes does a log entry make it the table, so a failing
+    refresh never replaces a good table -- the source replaced the view first
+    and validated after -- and a reader (``versions.read_published``) sees one
+    version to its end.  No data is renamed or overwritten.  Either way a report
+    row is appended to ``<table>__reports`` before a failed refresh raises; a
+    refused version is deleted.  Returns ``(published DataFrame, report row)``.
     """
     table_path = table_path or scratch_path(spark, "neighbourhood_summary")
-    stage = f"{table_path}__staging"
-    summary.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(summary.schema).parquet(stage)
-    checks = Q.validate_summary(staged)
+    folder = V.stage_version(summary, table_path)
+    checks = Q.validate_summary(V.read_folder(spark, table_path, folder, summary.schema))
     report = checks.first()
     refresh_report(spark, checks, table_path, report["passed"]).write.mode("append").json(f"{table_path}__reports")
+    if not report["passed"]:
+        V.delete_folder(spark, f"{table_path}/{folder}")
     Q.gate(report)
-    publish_by_rename(spark, stage, table_path)
-    return spark.read.schema(summary.schema).parquet(table_path), report
+    V.publish(spark, table_path, folder, summary.schema)
+    return V.read_published(spark, table_path), report
 
 
 def refresh_report(spark: SparkSession, report_row: DataFrame, target: str, passed: bool) -> DataFrame:
@@ -149,54 +120,12 @@ def dashboard_cards(summary_table: DataFrame, top_n: int = 10) -> DataFrame:
     return out
 
 
-def last_rows(df: DataFrame, key: str, order: str | None) -> DataFrame:
-    """One row per key: the one of largest ``order`` (ties, and without an order
-    column: the largest row by value)."""
-    row = F.struct(*([F.col(order).alias("_order")] if order else []), *df.columns)
-    return df.groupBy(F.col(key).alias("_key")).agg(F.max(row).alias("r")).select(*(F.col(f"r.{c}").alias(c) for c in df.columns))
-
-
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: str = "id", order: str | None = None,
-                 rows_per_bucket: int = 1_000_000, limit: int | None = None, dry_run: bool = False) -> int:
-    """SK8 / ST1: replace rows by ``key``, keep all others -- incrementally.
-    Returns the number of points of the batch.
-
-    Of repeated keys in a batch one row stays (``last_rows``).  The table is
-    partitioned by ``pmod(xxhash64(key), buckets)``; the number of buckets is
-    fixed by the first batch's size and kept beside the table.  An upsert
-    writes only the buckets its rows touch, once, and moves them into place by
-    rename, so its cost follows the touched buckets, and a replayed batch gives
-    the same table.  ``limit`` takes the first keys only; a dry run counts and
-    writes nothing.
-    """
-    if limit is not None:
-        new = new.orderBy(key).limit(limit)
-    batch = last_rows(new, key, order).persist()
-    try:
-        n = batch.count()
-        if dry_run:
-            return n
-        meta = f"{path.rstrip('/')}__buckets"
-        first = not path_exists(spark, f"{meta}/_SUCCESS")
-        if first:
-            spark.createDataFrame([(max(1, -(-n // rows_per_bucket), min(16, n)),)], "buckets int").write.mode("overwrite").json(meta)
-        buckets = spark.read.schema("buckets int").json(meta).first()["buckets"]
-        rows = batch.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-        if first:
-            rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
-            return n
-        touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]     # at most `buckets` numbers
-        kept = (spark.read.parquet(path).where(F.col("_bucket").isin(touched))
-                .join(rows.select(key), key, "left_anti").select(*rows.columns))
-        stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex[:12]}"
-        rows.unionByName(kept).repartition("_bucket").write.partitionBy("_bucket").parquet(stage)
-        for b in touched:
-            publish_by_rename(spark, f"{stage}/_bucket={b}", f"{path.rstrip('/')}/_bucket={b}")
-        spark.catalog.refreshByPath(path)
-        return n
-    finally:
-        batch.unpersist()
+                 rows_per_bucket: int = keyed.ROWS_PER_BUCKET, limit: int | None = None, dry_run: bool = False,
+                 batch: tuple[str, int] | None = None) -> int:
+    """SK8 / ST1: replace rows by ``key``, keep all others (``operators/keyed.py``)."""
+    return keyed.upsert(spark, new, path, key, order, rows_per_bucket, limit, dry_run, batch)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("_bucket")
+    return keyed.read(spark, path)

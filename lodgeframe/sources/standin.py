@@ -67,6 +67,13 @@ class StandIn:
         _STORED_VIEWS[key] = df
         return df
 
+    def stored_path(self, name: str) -> str:
+        """Folder of a stored view (written if need be), for file streams."""
+        self._view(name)
+        if not self.materialized:
+            raise ValueError("stored views are off (lodgeframe.warehouse.enabled)")
+        return f"{self._root}/{name}"
+
     def cache_key(self, what: str):
         """Key for values derived from the stored views (None without a warehouse)."""
         if not self.materialized:
