@@ -15,15 +15,14 @@ Exact filtered top-k (VS1)
     query, and a window merges them.  Nothing passes through the driver.
 
 Approximate top-k (VS2)
-    Inverted file: Spark ML k-means cells, each query scored against the
-    nearest ``probe`` share of the cells.  Large cells are split into
-    blocks of ``BLOCK_ROWS``, so a hot cell is many units.
+    Residual product codes: a byte per group of dimensions stands in for each
+    vector, table look-ups rank the codes, a few candidates per query are
+    scored exactly (``product_codes.py``).
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -31,10 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import NORM_EPS
+from . import product_codes as PC
 
 DEFAULT_DIM = 384
 BLOCK_ROWS = 4096        # vectors per block of a scoring unit
 QUERY_CHUNK = 512        # queries per matrix product inside a unit
+RERANK = 10              # candidates of the approximate search for each of the k results
 
 
 # -- encoder ---------------------------------------------------------------------------------
@@ -249,39 +250,18 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str =
 
 def knn_ivf(queries: DataFrame, corpus: DataFrame, k: int = 5, *, qid: str = "qid",
             qvec: str = "embedding", cid: str = "id", cvec: str = "embedding",
-            probe: float = 0.9, seed: int = 42, exclude_self: bool = False) -> DataFrame:
-    """VS2: approximate top-k -> (qid, id, score, rank): exact cosine within the
-    ``probe`` share of k-means cells whose centres are nearest to the query.
-    The number of cells grows with the square root of the corpus."""
+            probe: float = 1.0, rerank: int | None = None, sample: int = PC.SAMPLE, exclude_self: bool = False) -> DataFrame:
+    """VS2: approximate top-k -> (qid, id, score, rank), scores exact.
+
+    Product codes of every vector (``product_codes.py``) rank the vectors of the
+    ``probe`` share of cells nearest to a query; the best ``rerank`` (by default
+    ``RERANK`` for each of the k) are scored against their vectors."""
     q, c = _sides(queries, corpus, qid, qvec, cid, cvec, None, {})
-    as_vector = lambda col: array_to_vector(F.transform(col, lambda x: x.cast("double")))
-    n = c.count()
-    if n == 0:
+    books = PC.fit(c, sample=sample)
+    if books is None:
         return queries.sparkSession.createDataFrame([], "qid long, id long, score double, rank int")
-    model = KMeans(k=max(2, round(n ** 0.5 / 2)), seed=seed, maxIter=10, featuresCol="v", predictionCol="cell").fit(
-        c.select(as_vector("cvec").alias("v")))
-    placed = model.transform(c.withColumn("v", as_vector("cvec"))).drop("v")
-    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}    # one row per cell
-    centres = np.array(model.clusterCenters())
-    splits = np.array([_blocks(sizes.get(i, 0)) for i in range(len(centres))])
-    visits = max(1, int(np.ceil(probe * len(centres))))
-
-    def probes(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            near = np.argsort(-(_unit_vectors(pdf["qvec"]) @ centres.T), axis=1, kind="stable")[:, :visits]
-            pdf["cells"] = list(near.astype(np.int32))
-            yield pdf
-
-    per_cell = F.array(*(F.lit(int(x)) for x in splits))
-    asked = (q.mapInPandas(probes, q.schema.simpleString()[7:-1] + ",cells:array<int>")
-             .withColumn("cell", F.explode("cells")).drop("cells")
-             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.element_at(per_cell, F.col("cell") + 1) - 1))))
-    dealt = placed.withColumn("cb", F.pmod(F.xxhash64("id"), F.element_at(per_cell, F.col("cell") + 1)).cast("int"))
-    nq = _blocks(q.count())
-    return _merge(asked.select("*", _block_of("qid", nq, "qb")), dealt.select("*", _all_of(nq, "qb")),
-                  ["cell", "cb", "qb"], k, {}, exclude_self)
+    chosen = PC.candidates(q, PC.encode(c, books), books, rerank or RERANK * k, probe, exclude_self)
+    return PC.rank_exactly(chosen, q, c, k)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:

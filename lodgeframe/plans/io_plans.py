@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import round_half_up
+from ..functions.scalar import l2_norm, round_half_up
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import reports as R
@@ -14,7 +14,9 @@ from ..sources import files as FS
 from ..sources.standin import StandIn
 from ..sources.tables import read_table, table_path
 from ..streaming import incremental as ST
+from ..streaming import listing_state as LS
 from .feature_plans import _Ctx
+from .oracle_sql import avg_exact, rnd, with_views
 
 
 def q_feature_set_roundtrip(spark, sf_dir):
@@ -108,9 +110,9 @@ def q_manifest_verify(spark, sf_dir):
 
 
 def q_stream_daily_counts(spark, sf_dir):
-    """ST2: streaming daily counts per event type (equal to the batch aggregate, so no row is late)."""
+    """ST2: streaming daily counts per event type; the watermark spans the table, so no row is late."""
     ev = read_table(spark, sf_dir, "events")
-    out = ST.daily_event_counts(spark, table_path(sf_dir, "events"), ev.schema, watermark=None)
+    out = ST.daily_event_counts(spark, table_path(sf_dir, "events"), ev.schema, watermark=ST.span_watermark(ev, "ts"))
     return out.select("day", "event_type", "n", round_half_up("total", 4).alias("total"))
 
 
@@ -121,6 +123,34 @@ def q_stream_reindex(spark, sf_dir):
     return idx.groupBy("lang").agg(F.count(F.lit(1)).alias("points"))
 
 
+def q_stream_listing_measures(spark, sf_dir):
+    """ST2: listing rates and review counts maintained by streams over the calendar and review files."""
+    v = StandIn(spark, sf_dir)
+    cal, rev = v.calendar_day(), v.review()
+    low, high = cal.agg(F.min("date"), F.max("date")).first()
+    first, last = rev.agg(F.min("review_date"), F.max("review_date")).first()
+    # allowed delay: the longer time span of the two tables, so no stored row is late
+    spans = [(b - a).days for a, b in ((low, high), (first, last)) if a is not None]
+    where = LS.maintain(spark, v.stored_path("calendar_day"), v.stored_path("review"), cal.schema, rev.schema, max(spans, default=0) + 1)
+    return LS.measures(spark, where).select(
+        "listing_id", "availability_30_rate", round_half_up("avg_calendar_price_30", 4).alias("avg_calendar_price_30"),
+        "availability_365_rate", "total_reviews")
+
+
+def q_stream_reindex_points(spark, sf_dir):
+    """ST1 + PF17: the streamed index's points with their payload defaults."""
+    from .vector_plans import payload_defaults
+
+    def payload(batch):
+        absent = [F.lit(None).cast("string").alias("primary"), F.lit(None).cast("array<string>").alias("labels")]
+        return payload_defaults(batch.select("*", *absent)).drop("text")
+
+    docs = read_table(spark, sf_dir, "documents")
+    idx = ST.stream_reindex(spark, table_path(sf_dir, "documents"), docs.schema, payload=payload)
+    return idx.select("id", "primary", "primary_label", F.concat_ws(";", "labels").alias("labels"), "lang", "source",
+                      F.size("embedding").alias("dim"), (F.abs(l2_norm("embedding") - 1.0) < 1e-5).alias("unit"))
+
+
 QUERIES = {
     "feature_set_roundtrip": q_feature_set_roundtrip,
     "scan_feature_set": q_scan_feature_set,
@@ -132,6 +162,8 @@ QUERIES = {
     "manifest_verify": q_manifest_verify,
     "stream_daily_counts": q_stream_daily_counts,
     "stream_reindex": q_stream_reindex,
+    "stream_reindex_points": q_stream_reindex_points,
+    "stream_listing_measures": q_stream_listing_measures,
 }
 
 _TS = """CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
@@ -145,6 +177,21 @@ ORACLES = {
                CAST(length(d.text) AS INTEGER) AS text_chars
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "stream_reindex": "SELECT lang, count(*) AS points FROM documents GROUP BY lang",
+    "stream_reindex_points": """
+        SELECT doc_id AS id, 'neutral' AS primary, 'neutral' AS primary_label, '' AS labels, coalesce(lang, 'en') AS lang,
+               coalesce(source, 'instructor_indexer') AS source, CAST(384 AS INTEGER) AS dim, true AS unit FROM documents""",
+    "stream_listing_measures": with_views(f"""
+        SELECT coalesce(c.listing_id, r.listing_id) AS listing_id, c.first_rate AS availability_30_rate,
+               {rnd('c.first_price', 4)} AS avg_calendar_price_30, c.rate AS availability_365_rate,
+               coalesce(r.total_reviews, 0) AS total_reviews
+        FROM c FULL JOIN r ON c.listing_id = r.listing_id""", ("calendar_day", "review"), (
+        ("c", f"""
+            SELECT listing_id, CAST(count(*) FILTER (WHERE available) AS DOUBLE) / count(*) AS rate,
+                   CAST(count(*) FILTER (WHERE available AND first) AS DOUBLE) / nullif(count(*) FILTER (WHERE first), 0) AS first_rate,
+                   {avg_exact('CASE WHEN first THEN price END')} AS first_price
+            FROM (SELECT *, date < (SELECT min(date) FROM calendar_day) + INTERVAL 30 DAY AS first FROM calendar_day) d
+            GROUP BY listing_id"""),
+        ("r", "SELECT listing_id, count(*) AS total_reviews FROM review GROUP BY listing_id"))),
     "stream_daily_counts": """
         SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n,
                CAST(round(CAST(sum(value) AS DECIMAL(18,8)), 4) AS DOUBLE) AS total
