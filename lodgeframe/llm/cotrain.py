@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from lodgeframe.llm import textscan as ts
-from lodgeframe.llm.common import as_batch, crc_mod, lists, map_batches, prepare, stage, table
+from lodgeframe.llm.common import as_batch, crc_mod, fresh_names, lists, map_batches, prepare, stage, table
 
 ROUNDS = 2
 STEPS = 7
 RIDGE = 1.0
 PRECISION = 0.98
+#: labelled rows beyond a margin from which its precision counts; with fewer of one
+#: class in all, a view hands over no pseudo-labels of that class (``report``)
+SURE_ROWS = 50
 #: a document stays if its probability of good quality reaches this
 KEEP = 0.5
 
@@ -218,42 +221,46 @@ def with_scores(rows: DataFrame, views: dict) -> DataFrame:
     return map_batches(rows, run, schema)
 
 
-def sure(scored: DataFrame, z: str) -> tuple[float, float]:
+def sure(scored: DataFrame, z: str, least: int = SURE_ROWS) -> tuple[float, float]:
     """Margins (for bad, for good) beyond which a view was right in ``PRECISION`` of
-    the labelled rows; infinite if never."""
+    at least ``least`` labelled rows; infinite if never."""
     bins = (scored.where("label is not null").groupBy(F.round(F.col(z).cast("double") * 4).alias("bin"))
             .agg(F.sum("label").alias("good"), F.count("*").alias("n")).orderBy("bin").toPandas())
     at, good, n = (bins[c].to_numpy(float) for c in ("bin", "good", "n"))
     up_good, up_n = good[::-1].cumsum()[::-1], n[::-1].cumsum()[::-1]
     down_bad, down_n = (n - good).cumsum(), n.cumsum()
-    high = at[(up_good >= PRECISION * up_n) & (up_n >= 50)]
-    low = at[(down_bad >= PRECISION * down_n) & (down_n >= 50)]
+    high = at[(up_good >= PRECISION * up_n) & (up_n >= least)]
+    low = at[(down_bad >= PRECISION * down_n) & (down_n >= least)]
     return (low.max() / 4 if len(low) else -np.inf), (high.min() / 4 if len(high) else np.inf)
 
 
-def train(rows: DataFrame) -> dict:
+def train(rows: DataFrame, sure_rows: int = SURE_ROWS) -> dict:
     """Co-train on staged rows (label, content, metadata); returns the views'
-    scales and weights and the combination."""
+    scales and weights, the combination, and ``report``: for each round and view
+    the unlabelled rows it called bad and good, for the other view to learn from."""
     first = rows.first()
     if first is None or not rows.where("label is not null").limit(1).count():
         return {}
     scales = {name: moments(rows, name, len(first[name])) for name in ("content", "metadata")}
     fits = newton(rows, [Fit(name, "label", scale, np.zeros(len(scale[0]))) for name, scale in scales.items()])
     views = {name: (scales[name], w) for name, w in zip(scales, fits)}
-    for _ in range(ROUNDS):
+    report = []
+    for number in range(ROUNDS):
         scored = with_scores(rows, views)
         pseudo = {}
         for name in views:
-            low, high = sure(scored, f"z_{name}")
+            low, high = sure(scored, f"z_{name}", sure_rows)
             z = F.col(f"z_{name}")
             pseudo[name] = F.coalesce("label", F.when(z <= F.lit(float(low)), 0).when(z >= F.lit(float(high)), 1))
         shared = stage(scored.select("label", *views, *(pseudo[name].alias(f"by_{name}") for name in views)), "cotrain-round")
+        given = shared.where("label is null").agg(*(F.count_if(F.col(f"by_{name}") == y).alias(f"{name}_{y}") for name in views for y in (0, 1))).first()
+        report += [{"round": number, "view": name, "bad": given[f"{name}_0"], "good": given[f"{name}_1"]} for name in views]
         fits = newton(shared, [Fit(name, f"by_{other}", *views[name]) for name, other in (("content", "metadata"), ("metadata", "content"))])
         views = {name: (scales[name], w) for name, w in zip(scales, fits)}
     z = with_scores(rows.where("label is not null"), views)
     both = stage(z.select("label", F.array("z_content", "z_metadata", F.lit(1.0)).alias("z")), "cotrain-views")
     unit = (np.zeros(3), np.ones(3))
-    return {"views": views, "mix": newton(both, [Fit("z", "label", unit, np.array([1.0, 0.0, 0.0]))])[0]}
+    return {"views": views, "mix": newton(both, [Fit("z", "label", unit, np.array([1.0, 0.0, 0.0]))])[0], "report": report}
 
 
 def features(docs: DataFrame, text: str, source: str, lang: str, n_chars: str, extra: list[str]) -> DataFrame:
@@ -270,8 +277,9 @@ def features(docs: DataFrame, text: str, source: str, lang: str, n_chars: str, e
 
 
 def inputs(docs: DataFrame, text: str, source: str, lang: str, n_chars: str, extra: list[str]) -> DataFrame:
-    return docs.select(F.col(text).cast("string").alias("_text"), F.col(source).cast("string").alias("_source"),
-                       F.col(lang).cast("string").alias("_lang"), F.col(n_chars).cast("double").alias("_n_chars"), *extra)
+    names = fresh_names(docs.columns, "in_text", "in_source", "in_lang", "in_n_chars")
+    kinds = ("string", "string", "string", "double")
+    return docs.select(*(F.col(c).cast(kind).alias(name) for c, kind, name in zip((text, source, lang, n_chars), kinds, names)), *extra)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",

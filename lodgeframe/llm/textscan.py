@@ -9,6 +9,8 @@ document is a block of its own), which bounds the memory of the passes.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -27,6 +29,9 @@ _rng = np.random.default_rng(20240607)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INV = np.uint64(pow(int(BASE), -1, 2**64))
+#: longer strings get a cryptographic hash: modulo 2**64 a polynomial gives some regular
+#: strings of 256 bytes and more (Thue-Morse words and their complements) one value
+LONG_BYTES = 128
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers: dict[str, np.ndarray] = {}
 
@@ -78,7 +83,13 @@ class Block:
         """64-bit hashes of data[begin:end], equal for equal bytes wherever they lie."""
         s = self.prefix()
         _, down = powers(len(self.data) + 1)
-        return mix((s[end] - s[begin]) * down[begin] + (end - begin).astype(np.uint64) * _M2)
+        out = mix((s[end] - s[begin]) * down[begin] + (end - begin).astype(np.uint64) * _M2)
+        far = np.flatnonzero(end - begin > LONG_BYTES)
+        if len(far):
+            data = memoryview(np.ascontiguousarray(self.data))
+            codes = b"".join(hashlib.blake2b(data[a:z], digest_size=8).digest() for a, z in zip(begin[far].tolist(), end[far].tolist()))
+            out[far] = np.frombuffer(codes, np.uint64)
+        return out
 
     def words(self, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximal runs of word bytes, never across documents: (begin, end, n+1
