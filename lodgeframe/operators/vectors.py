@@ -35,6 +35,7 @@ from . import product_codes as PC
 DEFAULT_DIM = 384
 BLOCK_ROWS = 4096        # vectors per block of a scoring unit
 QUERY_CHUNK = 512        # queries per matrix product inside a unit
+POOL_ROWS = 256          # texts whose token hashes are pooled at once
 RERANK = 10              # candidates of the approximate search for each of the k results
 
 
@@ -107,27 +108,32 @@ def token_hashes(text, max_tokens: int | None = None):
 
 
 def embed(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
-          dim: int = DEFAULT_DIM, encoder_factory=None, encoder_name: str = "custom", max_tokens: int | None = None) -> DataFrame:
+          dim: int = DEFAULT_DIM, encoder_factory=None, encoder_name: str = "custom", max_tokens: int | None = None,
+          keep_text: bool = True) -> DataFrame:
     """EM1: add ``out_col array<float>`` (unit norm) computed from ``text_col``.
 
     Default: the hashed-token encoder (tokens/hashes in the JVM, pooling in
     numpy per Arrow batch).  ``encoder_factory`` plugs in any model object
     with ``encode(list[str]) -> (n, dim) array``; it is constructed once per
     Python task and fed whole Arrow batches of texts; ``encoder_name`` keeps
-    different models in one task apart.
+    different models in one task apart.  Without ``keep_text`` the text stays
+    in the JVM and is dropped (hashed encoder only).
     """
-    schema = T.StructType(list(df.schema.fields) +
-                          [T.StructField(out_col, T.ArrayType(T.FloatType(), False), False)])
+    if encoder_factory is None and not keep_text:
+        df = df.withColumn("_tok_hashes", token_hashes(F.col(text_col), max_tokens)).drop(text_col)
+    fields = [f for f in df.schema.fields if f.name != "_tok_hashes"]
+    schema = T.StructType([*fields, T.StructField(out_col, T.ArrayType(T.FloatType(), False), False)])
     if encoder_factory is None:
         key = ("hashed", dim)
         tmp = "_tok_hashes"
-        staged = df.withColumn(tmp, token_hashes(F.col(text_col), max_tokens))
+        staged = df.withColumn(tmp, token_hashes(F.col(text_col), max_tokens)) if keep_text else df
 
         def run_hashed(batches):
             enc = _encoder(lambda: HashedTokenEncoder(dim), key)
             for pdf in batches:
-                pdf[out_col] = enc.pool(pdf[tmp].tolist()) if len(pdf) else []
-                yield pdf.drop(columns=[tmp])
+                for a in range(0, len(pdf), POOL_ROWS):
+                    part = pdf.iloc[a:a + POOL_ROWS]
+                    yield part.drop(columns=[tmp]).assign(**{out_col: enc.pool(part[tmp].tolist())})
 
         return staged.mapInPandas(run_hashed, schema)
 

@@ -83,6 +83,16 @@ def q_scan_json(spark, sf_dir):
         "primary", "lang", "source", "timestamp", F.length("text").alias("text_chars"))
 
 
+def q_scan_json_list(spark, sf_dir):
+    """SC4: the re-index input written as JSON lists and read back in byte ranges that cut through elements."""
+    from ..sources.json_list import read_json_list, write_json_lists
+    from .vector_plans import reindex_input
+    path = scratch_path(spark, "corpus_json_lists")
+    write_json_lists(reindex_input(spark, sf_dir).drop("id").coalesce(4), path)
+    return read_json_list(spark, path, FS.CORPUS_SCHEMA, range_bytes=8 << 20).select(
+        "primary", "lang", "source", "timestamp", F.length("text").alias("text_chars"), F.md5("text").alias("text_md5"))
+
+
 def q_scan_sidecar(spark, sf_dir):
     """SC5: a JSON sidecar read with its schema; an absent sidecar gives an empty frame."""
     ctx = _Ctx(spark, sf_dir)
@@ -143,7 +153,7 @@ def q_stream_reindex_points(spark, sf_dir):
 
     def payload(batch):
         absent = [F.lit(None).cast("string").alias("primary"), F.lit(None).cast("array<string>").alias("labels")]
-        return payload_defaults(batch.select("*", *absent)).drop("text")
+        return payload_defaults(batch.select("*", *absent))
 
     docs = read_table(spark, sf_dir, "documents")
     idx = ST.stream_reindex(spark, table_path(sf_dir, "documents"), docs.schema, payload=payload)
@@ -158,6 +168,7 @@ QUERIES = {
     "validation_report": q_validation_report,
     "run_artifacts": q_run_artifacts,
     "scan_json": q_scan_json,
+    "scan_json_list": q_scan_json_list,
     "file_manifest": q_file_manifest,
     "manifest_verify": q_manifest_verify,
     "stream_daily_counts": q_stream_daily_counts,
@@ -170,6 +181,12 @@ _TS = """CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
               ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id), '%Y-%m-%dT%H:%M:%S') END"""
 
 ORACLES = {
+    "scan_json_list": f"""
+        SELECT CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 1 THEN 'good'
+                    WHEN l.doc_id IS NOT NULL THEN 'neutral' END AS primary,
+               d.lang, d.source, {_TS.replace('doc_id', 'd.doc_id')} AS timestamp,
+               CAST(length(d.text) AS INTEGER) AS text_chars, md5(d.text) AS text_md5
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "scan_json": f"""
         SELECT CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 1 THEN 'good'
                     WHEN l.doc_id IS NOT NULL THEN 'neutral' END AS primary,

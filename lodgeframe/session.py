@@ -71,6 +71,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/lodgeframe-
     return conf_dir
 
 
+def own_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session of the same application with ``spark``'s settings and some of
+    its own (dots as double underscores), which no later query of ``spark`` sees."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key.replace("__", "."), value)
+    return own
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder.
 
@@ -97,5 +109,5 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return bool(fs.getFileStatus(hpath).isDirectory())
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "path_exists", "is_folder",
+__all__ = ["get_spark", "own_session", "ensure_checkpoint_dir", "scratch_path", "path_exists", "is_folder",
            "DEFAULT_CONF"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import keyed
 from ..operators import vectors as V
 from ..operators.sinks import read_upserted, upsert_table
-from ..session import scratch_path
+from ..session import own_session, scratch_path
 from .listing_state import file_stream
 
 #: bytes of files in one micro-batch of documents, or of events
@@ -76,18 +76,19 @@ def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str
 
     The stream checkpoint replaces the ``--since`` bookkeeping of the batch job.
     Micro-batches are bounded by the bytes of their files; each is embedded and
-    written once, as a delta of the index.  ``payload`` maps the rows (id, text,
-    embedding and the other columns of the files) to the stored points; by
-    default they are id, lang, source and embedding.
+    written once, as a delta of the index.  ``payload`` maps the rows (id,
+    embedding and the other columns of the files, without the text) to the stored
+    points; by default they are id, lang, source and embedding.
     """
     index_path = index_path or scratch_path(spark, "stream_index")
     checkpoint = checkpoint or scratch_path(spark, "stream_index_ckpt")
-    src = file_stream(spark, docs_path, schema, **_bounds(batch_bytes, batch_files))
-    emb = V.embed(src.withColumnRenamed(key, "id"), text_col)
+    own = own_session(spark, spark__sql__execution__arrow__maxRecordsPerBatch="512")     # whole texts
+    src = file_stream(own, docs_path, schema, **_bounds(batch_bytes, batch_files))
+    emb = V.embed(src.withColumnRenamed(key, "id"), text_col, keep_text=False)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         points = payload(batch) if payload else batch.select("id", "lang", "source", "embedding")
-        upsert_table(spark, points, index_path, rows_per_bucket=rows_per_bucket, batch=("stream_reindex", epoch))
+        upsert_table(own, points, index_path, rows_per_bucket=rows_per_bucket, batch=("stream_reindex", epoch))
 
     q = (emb.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
