@@ -85,6 +85,26 @@ def test_archives_with_false_records(spark, split):
     assert sorted(got, key=repr) == expected(rows)
 
 
+def test_a_broken_chain_ends_the_file(spark):
+    """Records after a wrong length, and those that only payloads hold, do not count."""
+    path = scratch_path(spark, "warc-test")
+    record = lambda i, body, n=None: (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\n"
+                                      f"Content-Length: {len(body) if n is None else n}\r\n\r\n{body}\r\n\r\n")
+    http = "HTTP/1.1 200 OK\r\n\r\n"
+    text = record(1, http + "one") + record(2, http + record(7, http + "inner") * 3) + record(3, http + "three", 5) + record(4, http + "four")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (60, 333, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.read(spark, path).collect()}
+            inner = (record(7, http + "inner") * 3).encode()
+            whole = {1: (3, hashlib.sha1(b"one").hexdigest()), 2: (len(inner), hashlib.sha1(inner).hexdigest())}
+            assert {i: got[i] for i in (1, 2)} == whole and set(got) == {1, 2, 3}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_empty_archives(spark):
     path = scratch_path(spark, "warc-test")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
