@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import round_half_up, sigmoid, threshold_label
 from ..operators import evaluate as EV
+from ..operators import runs as R
+from ..session import scratch_path
 from ..sources.standin import StandIn
 from .oracle_sql import rnd, with_views
 
@@ -62,6 +64,45 @@ def q_select_serving_run(spark, sf_dir):
     return EV.select_serving_run(EV.runs_from_sweep(EV.threshold_sweep(_scores(spark, sf_dir))))
 
 
+def _logged(spark, sf_dir):
+    """Three experiments in a stored runs table, one append (and writer) each: all
+    thresholds with one selected; clean, leaky and withdrawn runs; leaky runs only."""
+    scores = _scores(spark, sf_dir)
+    sweep = EV.threshold_sweep(scores)
+    auc = EV.roc_auc(scores).select("roc_auc").first()[0]
+    table = scratch_path(spark, "runs_table")
+    step = F.round(F.col("threshold") * 100).cast("int")
+    leaky, withdrawn, chosen = step >= 50, step % 20 == 0, step == 30
+    for number, (name, tags) in enumerate((
+            ("selected", {"uses_leakage": F.lit(False), "clean_candidate": F.lit(True), "selected_for_serving": chosen}),
+            ("unselected", {"uses_leakage": leaky, "clean_candidate": ~withdrawn}),
+            ("leaky", {"uses_leakage": F.lit(True)}))):
+        text = lambda flag: F.when(flag, F.lit("true")).otherwise(F.lit("false"))
+        R.append(spark, table, sweep.select(
+            F.lit(name).alias("experiment"), F.concat(F.lit(f"v{number}_threshold_"), F.format_number("threshold", 2)).alias("run_name"),
+            F.timestamp_add("MINUTE", (step * 37) % 101, F.lit("2024-05-01 00:00:00").cast("timestamp")).alias("start_time"),
+            F.map_from_arrays(F.array(*map(F.lit, R.METRICS)), F.array("accuracy", "precision", "recall", "f1", F.lit(auc))).alias("metrics"),
+            F.create_map(F.lit("threshold"), F.format_number("threshold", 2), F.lit("model_type"), F.lit("event_score")).alias("params"),
+            F.create_map(*(x for k, flag in tags.items() for x in (F.lit(k), text(flag)))).alias("tags"),
+            F.array(F.lit("score")).alias("features")))
+    return R.read(spark, table)
+
+
+def q_runs_table(spark, sf_dir):
+    """ML17: the stored runs, compared."""
+    return R.compare(_logged(spark, sf_dir)).drop("run_id").withColumn("roc_auc", round_half_up("roc_auc", 8))
+
+
+def q_runs_best(spark, sf_dir):
+    """WS5: the best clean candidate of each experiment."""
+    return R.best(_logged(spark, sf_dir)).drop("run_id")
+
+
+def q_runs_serving(spark, sf_dir):
+    """WS6: the run to serve of each experiment; the three experiments end in the three tiers."""
+    return R.serving(_logged(spark, sf_dir)).drop("run_id")
+
+
 def q_latency_percentiles(spark, sf_dir):
     ev = StandIn(spark, sf_dir).raw.events
     out = EV.latency_summary(ev, "event_type", "value", ts="ts")
@@ -81,6 +122,9 @@ QUERIES = {
     "runs_compare": q_runs_compare,
     "select_best_run": q_select_best_run,
     "select_serving_run": q_select_serving_run,
+    "runs_table": q_runs_table,
+    "runs_best": q_runs_best,
+    "runs_serving": q_runs_serving,
     "latency_percentiles": q_latency_percentiles,
 }
 
@@ -115,7 +159,38 @@ _RUNS = ("runs", """
     SELECT 'v4_balanced_logistic_threshold_' || printf('%.2f', threshold) AS run_name,
            accuracy, precision, recall, f1, 'false' AS uses_leakage FROM sweep""")
 
+_AUC = f"""
+        SELECT {rnd('u / (n_pos * n_neg)', 8)} AS roc_auc
+        FROM (SELECT sum(pos * (coalesce(neg_before, 0) + neg * 0.5)) AS u, sum(pos) AS n_pos, sum(neg) AS n_neg
+              FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_before
+                    FROM (SELECT score, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos,
+                                 CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg
+                          FROM scores GROUP BY score) d) p) a"""
+_LOGGED = ("logged", f"""
+    SELECT e.experiment, 'v' || e.number || '_threshold_' || printf('%.2f', threshold) AS run_name,
+           TIMESTAMP '2024-05-01 00:00:00' + to_minutes(CAST((CAST(round(threshold * 100) AS INTEGER) * 37) % 101 AS INTEGER)) AS start_time,
+           CASE e.experiment WHEN 'selected' THEN 'false' WHEN 'leaky' THEN 'true'
+                             ELSE CASE WHEN round(threshold * 100) >= 50 THEN 'true' ELSE 'false' END END AS uses_leakage,
+           CASE e.experiment WHEN 'selected' THEN 'true'
+                             WHEN 'unselected' THEN CASE WHEN round(threshold * 100) % 20 = 0 THEN 'false' ELSE 'true' END END AS clean_candidate,
+           e.experiment = 'selected' AND round(threshold * 100) = 30 AS chosen,
+           accuracy, precision, recall, f1, (SELECT roc_auc FROM auc) AS roc_auc,
+           printf('%.2f', threshold) AS threshold, 'event_score' AS model_type, '1' AS feature_count
+    FROM sweep, (VALUES (0, 'selected'), (1, 'unselected'), (2, 'leaky')) e(number, experiment)""")
+
 ORACLES = {
+    "runs_table": with_views("SELECT * EXCLUDE (chosen) FROM logged", ("scores",), (_SWEEP, ("auc", _AUC), _LOGGED)),
+    "runs_best": with_views("""
+        SELECT experiment, run_name, f1 FROM logged WHERE uses_leakage = 'false' AND clean_candidate = 'true'
+        QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY f1 DESC NULLS LAST, run_name) = 1""",
+        ("scores",), (_SWEEP, ("auc", _AUC), _LOGGED)),
+    "runs_serving": with_views("""
+        SELECT experiment, run_name, tier, f1 FROM (
+          SELECT 'selected' AS experiment, run_name, 1 AS tier, f1 FROM logged WHERE chosen
+          UNION ALL (SELECT experiment, run_name, 2, f1 FROM logged WHERE experiment = 'unselected' AND uses_leakage = 'false'
+                     ORDER BY f1 DESC NULLS LAST, run_name LIMIT 1)
+          UNION ALL (SELECT experiment, run_name, 3, f1 FROM logged WHERE experiment = 'leaky' ORDER BY start_time DESC, run_name LIMIT 1)) t""",
+        ("scores",), (_SWEEP, ("auc", _AUC), _LOGGED)),
     "confusion_matrix": with_views("""
         SELECT 0 AS y, 0 AS yhat, tn AS n FROM cnt UNION ALL SELECT 0, 1, fp FROM cnt
         UNION ALL SELECT 1, 0, fn FROM cnt UNION ALL SELECT 1, 1, tp FROM cnt""",

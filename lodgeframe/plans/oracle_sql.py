@@ -34,18 +34,17 @@ VIEW_SQL: dict[str, str] = {
         SELECT n_name AS neighbourhood, lower(r_name) AS tourism_segment,
                CASE n_regionkey % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END
                  AS priority_level
-        FROM nation JOIN region ON n_regionkey = r_regionkey
-        WHERE r_regionkey <> 4""",
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "host": """
         SELECT s_suppkey AS host_id, s_name AS host_pseudo_id, (s_acctbal > 5000) AS is_superhost
-        FROM supplier WHERE s_suppkey % 6 <> 5""",
+        FROM supplier""",
     "review": """
         SELECT o_orderkey AS review_id, o_custkey AS listing_id,
                o_orderkey % 501 AS reviewer_id,
                'R-' || CAST(o_orderkey % 501 AS VARCHAR) AS reviewer_pseudo_id,
                CAST(o_orderdate AS DATE) AS review_date,
                CAST(floor(o_totalprice / 1000) AS INTEGER) AS comment_len
-        FROM orders WHERE o_orderstatus = 'F'""",
+        FROM orders""",
     "calendar_day": """
         SELECT o_custkey AS listing_id,
                CAST(l_shipdate AS DATE) AS date,
