@@ -277,31 +277,39 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return m
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """One aggregation over all columns -> one row per column.
-
-    missing_rate = share of null/NaN; ``is_constant`` = pandas
-    ``nunique(dropna=False) <= 1`` computed as "all missing, or no missing
-    and min = max" (no distinct count needed).
-    """
+def profile_columns(df: DataFrame) -> list[Column]:
+    """The aggregates behind ``column_profile``."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(df.columns):
         aggs += [F.count(F.when(_is_missing(df, c), F.lit(1))).alias(f"m{i}"),
                  (F.min(c) == F.max(c)).alias(f"e{i}")]
-    one = df.agg(*aggs)
+    return aggs
+
+
+def profile_rows(one: DataFrame, columns: list[str]) -> DataFrame:
     rows = [F.struct(F.lit(c).alias("column"),
                      (F.col(f"m{i}").cast("double") / F.col("__n").cast("double")).alias("missing_rate"),
                      ((F.col(f"m{i}") == F.col("__n")) |
                       ((F.col(f"m{i}") == 0) & F.coalesce(F.col(f"e{i}"), F.lit(False))))
                      .alias("is_constant"))
-            for i, c in enumerate(df.columns)]
+            for i, c in enumerate(columns)]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """One aggregation over all columns -> one row per column.
+
+    missing_rate = share of null/NaN; ``is_constant`` = pandas
+    ``nunique(dropna=False) <= 1`` computed as "all missing, or no missing
+    and min = max" (no distinct count needed).
+    """
+    return profile_rows(df.agg(*profile_columns(df)), df.columns)
+
+
 def drop_profile(df: DataFrame, protected=PROTECTED_COLUMNS,
-                 threshold: float = HIGH_MISSING_DROP_THRESHOLD) -> DataFrame:
+                 threshold: float = HIGH_MISSING_DROP_THRESHOLD, profile: DataFrame | None = None) -> DataFrame:
     """PF12 profile rows: which columns the drop rule removes and why."""
-    p = column_profile(df)
+    p = column_profile(df) if profile is None else profile
     prot = F.col("column").isin(*protected)
     return p.select(
         "column", "missing_rate", "is_constant",
@@ -309,6 +317,20 @@ def drop_profile(df: DataFrame, protected=PROTECTED_COLUMNS,
         ((~prot) & ((F.col("missing_rate") > threshold) | F.col("is_constant"))).alias("dropped"))
 
 
+def staged_clean(df: DataFrame, path: str, protected=PROTECTED_COLUMNS, threshold: float = HIGH_MISSING_DROP_THRESHOLD):
+    """PF12 in the pass that stores the features: ``df`` is written to ``path`` and
+    profiled meanwhile; (stored DataFrame without the unusable columns, their names)."""
+    from .quality import observed
+
+    spark, aggs = df.sparkSession, profile_columns(df)
+    found = observed({"features": (df, aggs)}, lambda f: f["features"].write.parquet(path))["features"]
+    kinds = ", ".join(f"`{c}` {'boolean' if c.startswith('e') else 'long'}" for c in found)
+    one = spark.createDataFrame([tuple(found.values())], kinds)
+    rows = drop_profile(df, protected, threshold, profile_rows(one, df.columns))
+    dropped = sorted(r["column"] for r in rows.where("dropped").collect())
+    return spark.read.schema(df.schema).parquet(path).drop(*dropped), dropped
+
+
 def drop_unusable_columns(df: DataFrame, protected=PROTECTED_COLUMNS,
                           threshold: float = HIGH_MISSING_DROP_THRESHOLD):
     """Apply PF12; returns (clean DataFrame, sorted dropped names).

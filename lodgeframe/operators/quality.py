@@ -4,7 +4,8 @@ reports *all* failing rules, not just the first."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The summary contract of the CLI summary.
@@ -14,6 +15,26 @@ REQUIRED_SUMMARY_COLUMNS = ("neighbourhood", "num_listings", "avg_price", "media
 PII_COLUMNS = ("host_name", "host_id", "reviewer_name", "reviewer_id", "listing_url", "host_url")
 
 
+def observed(watched: dict[str, tuple[DataFrame, list[Column]]], job) -> dict[str, dict]:
+    """Aggregates of some DataFrames gathered while ``job`` runs them.
+
+    ``watched`` names DataFrames with their aggregate columns; ``job`` gets
+    them, observed, by name, and runs one action that reads them. What the job's
+    plan did not run to its end (a side that an empty one made needless) is
+    aggregated afterwards.
+    """
+    watches = {name: Observation() for name in watched}
+    job({name: df.observe(watches[name], *columns) for name, (df, columns) in watched.items()})
+    out = {}
+    for name, (df, columns) in watched.items():
+        try:
+            done = watches[name]._jo.getOrEmpty().size() > 0
+        except Py4JJavaError:                       # completed without the node's row
+            done = False
+        out[name] = watches[name].get if done else df.agg(*columns).first().asDict()
+    return out
+
+
 class ValidationError(ValueError):
     """Raised by a gate after the report row has been produced."""
 
@@ -52,21 +73,29 @@ def validate_summary_basic(summary: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def validate_summary(summary: DataFrame) -> DataFrame:
-    """VA2: refresh checks of the materialised summary, one row + ``passed``."""
+def summary_checks() -> list[Column]:
+    """VA2: the aggregates that a refresh is judged by."""
     bad_price = (F.col("avg_price").isNull() | F.col("median_price").isNull() |
                  (F.col("avg_price") <= 0) | (F.col("median_price") <= 0))
     bad_avail = (F.col("availability_30_rate").isNull() | F.col("availability_365_rate").isNull() |
                  (F.col("availability_30_rate") < 0) | (F.col("availability_30_rate") > 1) |
                  (F.col("availability_365_rate") < 0) | (F.col("availability_365_rate") > 1))
-    one = summary.agg(
-        F.count(F.lit(1)).cast("int").alias("row_count"),
-        F.count(F.when(F.col("neighbourhood").isNull() | (F.col("neighbourhood") == ""), F.lit(1)))
-        .cast("int").alias("null_neighbourhoods"),
-        F.count(F.when(bad_price, F.lit(1))).cast("int").alias("bad_prices"),
-        F.count(F.when(bad_avail, F.lit(1))).cast("int").alias("bad_availability"))
-    return one.withColumn("passed", (F.col("row_count") > 0) & (F.col("null_neighbourhoods") == 0) &
-                          (F.col("bad_prices") == 0) & (F.col("bad_availability") == 0))
+    return [F.count(F.lit(1)).cast("int").alias("row_count"),
+            F.count(F.when(F.col("neighbourhood").isNull() | (F.col("neighbourhood") == ""), F.lit(1)))
+            .cast("int").alias("null_neighbourhoods"),
+            F.count(F.when(bad_price, F.lit(1))).cast("int").alias("bad_prices"),
+            F.count(F.when(bad_avail, F.lit(1))).cast("int").alias("bad_availability")]
+
+
+def judged(checks: DataFrame) -> DataFrame:
+    """The row of ``summary_checks`` with ``passed``."""
+    return checks.withColumn("passed", (F.col("row_count") > 0) & (F.col("null_neighbourhoods") == 0) &
+                             (F.col("bad_prices") == 0) & (F.col("bad_availability") == 0))
+
+
+def validate_summary(summary: DataFrame) -> DataFrame:
+    """VA2: refresh checks of the materialised summary, one row + ``passed``."""
+    return judged(summary.agg(*summary_checks()))
 
 
 def gate(report_row) -> None:
@@ -75,14 +104,20 @@ def gate(report_row) -> None:
         raise ValidationError(f"Validation failed: {report_row.asDict()}")
 
 
-def run_report(listings: DataFrame, segments: DataFrame, summary: DataFrame) -> DataFrame:
-    """SK6/AG16: the run report's counts as one row (three one-row aggregates)."""
-    lst = listings.agg(F.count(F.lit(1)).alias("input_listings"),
-                       F.count(F.when(F.col("number_of_reviews") > 0, F.lit(1)))
-                       .alias("listings_with_reviews"))
-    return lst.select(
-        "input_listings",
-        segments.select(F.count(F.lit(1))).scalar().alias("input_segments"),
-        summary.select(F.count(F.lit(1))).scalar().alias("output_neighbourhoods"),
-        "listings_with_reviews",
-        F.lit(len(summary.columns)).cast("bigint").alias("output_columns"))
+def run_report(listings: DataFrame, segments: DataFrame, summarize, write) -> DataFrame:
+    """SK6/AG16: the run report's counts as one row, gathered by the job that
+    writes the summary (``write(summarize(listings, segments))``), so both inputs
+    are read once."""
+    rows, n_columns = F.count(F.lit(1)).alias("n"), []
+
+    def job(by_name):
+        summary = summarize(by_name["listings"], by_name["segments"])
+        n_columns.append(len(summary.columns))
+        found.update(observed({"summary": (summary, [rows])}, lambda s: write(s["summary"])))
+
+    found: dict = {}
+    found |= observed({"listings": (listings, [rows, F.count_if(F.col("number_of_reviews") > 0).alias("reviewed")]),
+                       "segments": (segments, [rows])}, job)
+    counts = (found["listings"]["n"], found["segments"]["n"], found["summary"]["n"], found["listings"]["reviewed"], n_columns[0])
+    return listings.sparkSession.createDataFrame([counts], "input_listings long, input_segments long, output_neighbourhoods long, "
+                                                           "listings_with_reviews long, output_columns long")

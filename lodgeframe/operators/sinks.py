@@ -60,8 +60,8 @@ def read_json_sidecar(spark: SparkSession, path: str, schema) -> DataFrame:
 def refresh_summary(spark: SparkSession, summary: DataFrame, table_path: str | None = None):
     """SK7 + VA2 + VA3: stage -> validate the staged version -> commit its name.
 
-    The summary is written as a version folder of its own; only when the
-    validation row passes does a log entry make it the table, so a failing
+    The summary is written as a version folder of its own, and judged by what was
+    observed in the writing pass; only when the validation row passes does a log entry make it the table, so a failing
     refresh never replaces a good table -- the source replaced the view first
     and validated after -- and a reader (``versions.read_published``) sees one
     version to its end.  No data is renamed or overwritten.  Either way a report
@@ -69,8 +69,10 @@ def refresh_summary(spark: SparkSession, summary: DataFrame, table_path: str | N
     refused version is deleted.  Returns ``(published DataFrame, report row)``.
     """
     table_path = table_path or scratch_path(spark, "neighbourhood_summary")
-    folder = V.stage_version(summary, table_path)
-    checks = Q.validate_summary(V.read_folder(spark, table_path, folder, summary.schema))
+    folders = []
+    found = Q.observed({"summary": (summary, Q.summary_checks())}, lambda s: folders.append(V.stage_version(s["summary"], table_path)))
+    folder, checks = folders[0], found["summary"]
+    checks = Q.judged(spark.createDataFrame([tuple(checks.values())], ", ".join(f"{c} int" for c in checks)))
     report = checks.first()
     refresh_report(spark, checks, table_path, report["passed"]).write.mode("append").json(f"{table_path}__reports")
     if not report["passed"]:

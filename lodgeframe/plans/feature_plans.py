@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import coerce_boolean, coerce_numeric, parse_bathrooms
 from ..operators import features as FE
+from ..session import scratch_path
 from ..sources.standin import StandIn
 from .oracle_sql import rnd, with_views
 
@@ -114,7 +115,8 @@ def q_coverage_describe(spark, sf_dir):
 
 
 def q_validate_feature_set(spark, sf_dir):
-    df, _ = FE.drop_unusable_columns(_Ctx(spark, sf_dir).features())
+    """VA4: the features are computed once; their profile is gathered while they are stored."""
+    df, _ = FE.staged_clean(_Ctx(spark, sf_dir).features(), scratch_path(spark, "validated_features"))
     return FE.validate_feature_set(df)
 
 
