@@ -18,8 +18,9 @@ whole table comes in ``BATCHES`` batches: one merge, at most two levels. A level
 
 Entries whose segment occurs twice are repeats as a whole. Where a context
 occurs in different segments (a repeat ends inside), the segments are cut into
-pieces of ``PIECE`` windows and these, where they still differ around an equal
-core, into single windows, each time grouping by hash.
+pieces of the first of ``PIECES`` windows and these, where they still differ
+around an equal core, into finer ones down to single windows, each time
+grouping by hash.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.llm import textscan as ts
-from lodgeframe.llm.common import bucketed, map_batches, prepare, shuffle_width, stage, table
+from lodgeframe.llm.common import bucketed, map_batches, prepare, shuffle_width, table
 
 SPAN = 200
 CONTEXT = 24
-PIECE = 8
+#: windows in the pieces that contested segments are cut into, level by level; the last is 1
+PIECES = (32, 6, 1)
 #: batches that a whole table is inserted in
 BATCHES = 3
 
@@ -214,8 +216,9 @@ def repeated_ranges(docs: DataFrame, text: str, span: int = SPAN, batches: int =
         index.insert(kept.where(F.pmod(F.xxhash64("row"), F.lit(batches)) == b))
     total = index.scan()
     found = index.repeats(total)
-    for width in (PIECE, 1):
-        finer = stage(cut_finer(kept, contested(total), span, width), "suffix-pieces")
+    for width in PIECES:
+        # stored in buckets: neither the counts nor the join below move the pieces again
+        finer = bucketed(cut_finer(kept, contested(total), span, width), "suffix_pieces", buckets, "inner", "outer")
         total = distinct_segments(finer)
         found = found.union(spans(finer.join(total.where("places > 1").select(*KEYS), KEYS), span))
     merged = (found.groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("ranges")))
