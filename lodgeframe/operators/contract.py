@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STR, INT, FLOAT, BOOL = "str", "int", "float", "bool"
 
@@ -102,6 +103,21 @@ def _kind_of(t: Column) -> Column:
              .otherwise(F.lit("other")))
 
 
+#: texts that are numbers: digits with an optional point and exponent, no NaN, no suffix letters
+NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def number(text: Column) -> Column:
+    """A numeric text as double; null for any other text."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def clean_for_json(df: DataFrame) -> DataFrame:
+    """PF20: NaN becomes null, which JSON has, in every floating column."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.select(*(F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`") for c in df.columns))
+
+
 def _rule_violations(vals: Column, keys: Column, pv: Column, rule: FieldRule) -> list[Column]:
     """Violation strings of one field.
 
@@ -112,7 +128,7 @@ def _rule_violations(vals: Column, keys: Column, pv: Column, rule: FieldRule) ->
     present = F.array_contains(keys, F.lit(rule.name))
     raw = vals[rule.name]
     is_null = present & raw.isNull()
-    num = F.trim(raw).try_cast("double")
+    num = number(F.trim(raw))
     if rule.kind == STR:
         type_ok = _kind_of(F.schema_of_variant(F.variant_get(pv, f"$.{rule.name}", "variant"))) == "str"
         val = None
@@ -227,3 +243,10 @@ def query_bound_violations(df: DataFrame, query: str = "query", top_k: str = "to
                F.lit("top_k:out_of_range")),
         F.when(F.col(lang).isNotNull() & ~F.col(lang).isin(*ALLOWED_LANGS), F.lit("lang:unsupported")))
     return df.withColumn("violations", F.filter(checks, lambda x: x.isNotNull()))
+
+
+def batch_bound_violations(df: DataFrame, n_texts: str = "n_texts") -> DataFrame:
+    """PF21: a batch holds 1 to ``MAX_BATCH_TEXTS`` texts, told by its size."""
+    n = F.coalesce(F.col(n_texts), F.lit(0))
+    checks = F.array(F.when(n < 1, F.lit("texts:too_few")), F.when(n > MAX_BATCH_TEXTS, F.lit("texts:too_many")))
+    return df.withColumn("violations", F.filter(checks, lambda x: x.isNotNull()))

@@ -160,6 +160,13 @@ def dummy_scores(test: DataFrame, train: DataFrame, label: str = "label",
     return test.select(key, label, maj.cast("double").alias("score"))
 
 
+def agreement(predicted: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """VA8: rows, predictions equal to the label, and their share, as one row."""
+    same = F.count_if(F.col(prediction) == F.col(label))
+    return predicted.agg(F.count(F.lit(1)).alias("rows"), same.alias("matches"),
+                         F.try_divide(same.cast("double"), F.count(F.lit(1)).cast("double")).alias("agreement"))
+
+
 def threshold_labels(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD,
                      score: str = "score") -> DataFrame:
     """FN8: decision and label text at ``score >= threshold``."""

@@ -8,6 +8,7 @@ from ..functions.scalar import l2_norm, round_half_up
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import reports as R
+from ..operators import runs as RU
 from ..operators import sinks as K
 from ..session import scratch_path
 from ..sources import files as FS
@@ -73,6 +74,17 @@ def q_run_artifacts(spark, sf_dir):
                            "v4_balanced_logistic_threshold_0.50", ["score"])
 
 
+def q_run_artifact_files(spark, sf_dir):
+    """SK9: a run's artefacts written as files; the confusion matrix and feature list read back."""
+    ctx = _Ctx(spark, sf_dir)
+    s = ctx.v.scores()
+    folder = RU.write_artifacts(EV.classification_report(s), EV.confusion_matrix(s), ["score"],
+                                R.dataset_metadata(ctx.features(), ctx.window), "v4 balanced/threshold 0.50", scratch_path(spark, "artifacts"))
+    features = spark.read.json(f"{folder}/feature_columns.json").select(F.concat_ws(",", "feature_columns")).scalar()
+    return (spark.read.schema("y int, yhat int, n long").json(f"{folder}/confusion_matrix.json")
+            .select(F.lit(folder.rsplit("/", 1)[1]).alias("artifact_name"), features.alias("features"), "y", "yhat", "n"))
+
+
 def q_scan_json(spark, sf_dir):
     """SC4: re-index input written as JSON lines and read back with the corpus schema."""
     from .vector_plans import reindex_input
@@ -167,6 +179,7 @@ QUERIES = {
     "dataset_metadata": q_dataset_metadata,
     "validation_report": q_validation_report,
     "run_artifacts": q_run_artifacts,
+    "run_artifact_files": q_run_artifact_files,
     "scan_json": q_scan_json,
     "scan_json_list": q_scan_json_list,
     "file_manifest": q_file_manifest,
@@ -181,6 +194,10 @@ _TS = """CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN ''
               ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id), '%Y-%m-%dT%H:%M:%S') END"""
 
 ORACLES = {
+    "run_artifact_files": with_views("""
+        SELECT 'v4_balanced_threshold_0.50' AS artifact_name, 'score' AS features, y, yhat,
+               count(*) FILTER (WHERE (label = 1) = (y = 1) AND (score >= 0.5) = (yhat = 1)) AS n
+        FROM scores, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(y, yhat) GROUP BY y, yhat""", ("scores",)),
     "scan_json_list": f"""
         SELECT CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 1 THEN 'good'
                     WHEN l.doc_id IS NOT NULL THEN 'neutral' END AS primary,

@@ -49,7 +49,7 @@ def payloads(features):
                 .when(m == 3, js(f + [F.lit("x").alias("extra_note")]))
                 .when(m == 4, js(repl("available_rate_last_90d", F.lit(1.5))))
                 .otherwise(js(f)))
-    return features.select(KEY, payload.alias("payload"))
+    return CT.clean_for_json(features).select(KEY, payload.alias("payload"))
 
 
 def q_stratified_split(spark, sf_dir):
@@ -146,6 +146,14 @@ def q_query_bounds(spark, sf_dir):
                     F.concat_ws(";", "violations").alias("violations"))
 
 
+def q_batch_bounds(spark, sf_dir):
+    """PF21: every conversation as one embedding request of its turns' texts."""
+    from ..sources.standin import StandIn
+    turns = StandIn(spark, sf_dir).raw.conversations
+    sizes = turns.groupBy(F.col("conv_id").alias("request_id")).agg(F.count("text").alias("n_texts"))
+    return CT.batch_bound_violations(sizes).select("request_id", "n_texts", F.concat_ws(";", "violations").alias("violations"))
+
+
 def _serving(spark, sf_dir):
     """Model trained on the contract's inputs + typed accepted requests (checkpointed)."""
     fs = _Ctx(spark, sf_dir).features()
@@ -179,6 +187,13 @@ def q_repro_check(spark, sf_dir):
         "reproducible", F.col("differences") == 0)
 
 
+def q_prediction_agreement(spark, sf_dir):
+    """VA8: predictions of the accepted requests against their known labels."""
+    model, pre, typed = _serving(spark, sf_dir)
+    known = _Ctx(spark, sf_dir).features().where(F.col(LABEL).isNotNull()).select(KEY, F.col(LABEL).cast("int").alias("label"))
+    return EV.agreement(_score(model, pre, typed).checkpoint(eager=True).join(known.checkpoint(eager=True), KEY))
+
+
 def q_feature_lists(spark, sf_dir):
     """ML1/PF14: clean vs leaky model-input lists from the feature schema."""
     df = _labelled(spark, sf_dir)
@@ -252,6 +267,8 @@ QUERIES = {
     "query_bounds": q_query_bounds,
     "score_batch": q_score_batch,
     "repro_check": q_repro_check,
+    "prediction_agreement": q_prediction_agreement,
+    "batch_bounds": q_batch_bounds,
     "class_weights_features": q_class_weights_features,
     "experiment_runs": q_experiment_runs,
 }
@@ -337,6 +354,10 @@ def _w3_expected_sql():
 
 
 ORACLES = {
+    "batch_bounds": """
+        SELECT conv_id AS request_id, count(text) AS n_texts,
+               CASE WHEN count(text) < 1 THEN 'texts:too_few' WHEN count(text) > 256 THEN 'texts:too_many' ELSE '' END AS violations
+        FROM conversations GROUP BY conv_id""",
     "stratified_split": _fs("SELECT listing_id, high_demand_proxy, split FROM fsplit", (_SPLIT,)),
     "impute_median": _fs("SELECT * FROM med", (_SPLIT, _NAMES, _LONG, _MED)),
     "impute_mode": _fs(f"""

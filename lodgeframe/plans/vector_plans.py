@@ -45,15 +45,23 @@ def _audit_join(hits, audit, payload):
     a = audit.select(F.col("id"), F.col("text").alias("a_text"), F.col("primary_label").alias("a_primary"),
                      F.col("labels").alias("a_labels"), F.col("lang").alias("a_lang"),
                      F.col("source").alias("a_source"))
-    p = payload.select("id", F.col("primary_label").alias("p_primary"), F.col("lang").alias("p_lang"))
+    p = payload.select("id", F.col("text").alias("p_text"), F.col("primary_label").alias("p_primary"), F.col("labels").alias("p_labels"),
+                       F.col("lang").alias("p_lang"), F.col("source").alias("p_source"))
     j = hits.join(a, "id", "left").join(p, "id", "left")
     return j.select(
         "qid", "rank", "id", round_half_up("score", 6).alias("score"),
-        F.md5(F.coalesce("a_text", F.lit(""))).alias("text_md5"),
+        F.md5(F.coalesce("a_text", "p_text", F.lit(""))).alias("text_md5"),
         F.coalesce("a_primary", "p_primary", F.lit("unknown")).alias("primary"),
-        F.concat_ws(";", F.coalesce("a_labels", F.array().cast("array<string>"))).alias("labels"),
+        F.concat_ws(";", F.coalesce("a_labels", "p_labels", F.array().cast("array<string>"))).alias("labels"),
         F.coalesce("a_lang", "p_lang", F.lit("")).alias("lang"),
-        F.coalesce("a_source", F.lit("")).alias("source"))
+        F.coalesce("a_source", "p_source", F.lit("")).alias("source"))
+
+
+def _payload(spark, sf_dir):
+    """Stored payload of every point: its own label and language, and text, labels
+    and source of the document of its id."""
+    vec, docs = _vectors(spark, sf_dir).drop("embedding"), StandIn(spark, sf_dir).corpus().select("id", "text", "labels", "source")
+    return vec.join(docs, "id", "left")
 
 
 def q_knn_search(spark, sf_dir):
@@ -61,7 +69,7 @@ def q_knn_search(spark, sf_dir):
 
 
 def q_search_audit_join(spark, sf_dir):
-    return _audit_join(_knn(spark, sf_dir), _audit(spark, sf_dir), _vectors(spark, sf_dir))
+    return _audit_join(_knn(spark, sf_dir), _audit(spark, sf_dir), _payload(spark, sf_dir))
 
 
 def q_hybrid_search(spark, sf_dir):
@@ -70,7 +78,7 @@ def q_hybrid_search(spark, sf_dir):
     hits = V.knn_search(_queries(vec), vec, K, k_col="top_k", exclude_self=True,
                         query_filters={"lang": ("q_lang", "eq"),
                                        "primary_label": ("q_exclude_neutral", "ne_neutral")})
-    return _audit_join(hits, _audit(spark, sf_dir), vec)
+    return _audit_join(hits, _audit(spark, sf_dir), _payload(spark, sf_dir))
 
 
 def q_knn_label(spark, sf_dir):
@@ -210,16 +218,42 @@ def q_embed_edge_cases(spark, sf_dir):
                  F.count(F.when(F.size("embedding") == V.DEFAULT_DIM, F.lit(1))).alias("dim_ok"))
 
 
+def reindex_job(spark, rows, path: str, since: str | None = None, limit: int | None = None, dry_run: bool = False) -> int:
+    """VS5: since filter -> limit -> embed -> payload defaults -> upsert; the number
+    of points. A dry run counts the points, and embeds and writes nothing."""
+    from ..operators.sinks import upsert_table
+    chosen = since_filter(rows, since) if since else rows
+    if limit is not None:
+        chosen = chosen.orderBy("id").limit(limit)
+    if dry_run:
+        return chosen.select("id").distinct().count()
+    return upsert_table(spark, payload_defaults(V.embed(chosen, "text")), path)
+
+
 def q_reindex(spark, sf_dir):
-    """VS5: since filter -> embed -> payload defaults -> upsert into the index table."""
-    from ..operators.sinks import read_upserted, upsert_table
+    """VS5: the re-index job over the whole corpus; points by language."""
+    from ..operators.sinks import read_upserted
     from ..session import scratch_path
-    inp = since_filter(reindex_input(spark, sf_dir), REINDEX_SINCE)
-    pts = payload_defaults(V.embed(inp, "text"))
     path = scratch_path(spark, "vector_index")
-    upsert_table(spark, pts, path)
-    index = read_upserted(spark, path)
-    return index.groupBy("lang").agg(F.count(F.lit(1)).alias("points"))
+    reindex_job(spark, reindex_input(spark, sf_dir), path, REINDEX_SINCE)
+    return read_upserted(spark, path).groupBy("lang").agg(F.count(F.lit(1)).alias("points"))
+
+
+def q_reindex_dry_run(spark, sf_dir):
+    """VS5: points that the job would write, of all rows and of the first 100."""
+    rows = reindex_input(spark, sf_dir)
+    counts = [reindex_job(spark, rows, "", REINDEX_SINCE, limit, dry_run=True) for limit in (None, 100)]
+    return spark.createDataFrame([tuple(counts)], "points long, limited long")
+
+
+def q_reindex_points(spark, sf_dir):
+    """VS5: the stored points of a limited re-index, with their payload."""
+    from ..operators.sinks import read_upserted
+    from ..session import scratch_path
+    path = scratch_path(spark, "vector_index")
+    reindex_job(spark, reindex_input(spark, sf_dir), path, REINDEX_SINCE, limit=100)
+    return read_upserted(spark, path).select("id", "primary", "primary_label", F.concat_ws(";", "labels").alias("labels"), "lang", "source",
+                                             F.md5("text").alias("text_md5"), F.size("embedding").alias("dim"))
 
 
 def q_knn_ivf(spark, sf_dir):
@@ -250,6 +284,8 @@ QUERIES = {
     "embed_documents": q_embed_documents,
     "embed_edge_cases": q_embed_edge_cases,
     "reindex": q_reindex,
+    "reindex_dry_run": q_reindex_dry_run,
+    "reindex_points": q_reindex_points,
     "knn_ivf": q_knn_ivf,
 }
 
@@ -280,11 +316,11 @@ _AUDIT = ("audit", "SELECT * FROM corpus WHERE primary_label IS NOT NULL")
 def _audit_sql(hits):
     return f"""
     SELECT h.qid, h.rank, h.id, {rnd('h.score', 6)} AS score,
-           md5(coalesce(a.text, '')) AS text_md5,
+           md5(coalesce(a.text, d.text, '')) AS text_md5,
            coalesce(a.primary_label, p.primary_label, 'unknown') AS primary,
-           array_to_string(coalesce(a.labels, []), ';') AS labels,
-           coalesce(a.lang, p.lang, '') AS lang, coalesce(a.source, '') AS source
-    FROM {hits} h LEFT JOIN audit a ON h.id = a.id LEFT JOIN vectors p ON h.id = p.id"""
+           array_to_string(coalesce(a.labels, d.labels, []), ';') AS labels,
+           coalesce(a.lang, p.lang, '') AS lang, coalesce(a.source, d.source, '') AS source
+    FROM {hits} h LEFT JOIN audit a ON h.id = a.id LEFT JOIN vectors p ON h.id = p.id LEFT JOIN corpus d ON h.id = d.id"""
 
 
 _HHITS = ("hh", f"""
@@ -363,6 +399,16 @@ ORACLES = {
         FROM documents GROUP BY lang""",
     "embed_edge_cases": """
         SELECT count(*) AS n, count(*) AS unit_ok, count(*) AS dim_ok FROM conversations""",
+    "reindex_dry_run": f"""
+        SELECT count(*) AS points, least(count(*), 100) AS limited FROM (SELECT {_TS} AS ts FROM (SELECT doc_id AS id FROM documents) d) t
+        WHERE ts IS NULL OR ts = '' OR CAST(ts AS TIMESTAMP) >= TIMESTAMP '{REINDEX_SINCE.replace('T', ' ')}'""",
+    "reindex_points": with_views(f"""
+        SELECT id, coalesce(primary_label, 'neutral') AS primary, coalesce(primary_label, 'neutral') AS primary_label,
+               array_to_string(coalesce(labels, []), ';') AS labels, coalesce(lang, 'en') AS lang,
+               coalesce(source, 'instructor_indexer') AS source, md5(text) AS text_md5, CAST(384 AS INTEGER) AS dim
+        FROM (SELECT *, {_TS} AS ts FROM corpus) t
+        WHERE ts IS NULL OR ts = '' OR CAST(ts AS TIMESTAMP) >= TIMESTAMP '{REINDEX_SINCE.replace('T', ' ')}'
+        ORDER BY id LIMIT 100""", ("corpus",)),
     "reindex": f"""
         SELECT coalesce(lang, 'en') AS lang, count(*) AS points
         FROM (SELECT doc_id AS id, lang, {_TS} AS ts FROM documents) t
