@@ -126,9 +126,8 @@ def q_manifest_verify(spark, sf_dir):
     """VA11: the manifest written as JSON, then verified against the files."""
     m = FS.file_manifest(spark, sf_dir, "*.parquet")
     path = scratch_path(spark, "manifest_json")
-    m.coalesce(1).write.mode("overwrite").json(path)
-    declared = spark.read.schema("path string, sha256 string, bytes long").json(path)
-    return FS.verify_manifest(declared, FS.file_manifest(spark, sf_dir, "*.parquet"))
+    m.write.mode("overwrite").json(path)
+    return FS.verify_bundle(spark, sf_dir, path, "*.parquet")
 
 
 def q_stream_daily_counts(spark, sf_dir):

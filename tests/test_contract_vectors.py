@@ -175,3 +175,56 @@ def test_ivf_finds_most_of_the_exact_hits(spark, monkeypatch):
     exact = V.knn_search(q, df, 5, exclude_self=True)
     found = V.recall_at_k(V.knn_ivf(q, df, 5, probe=0.8, exclude_self=True), exact).first()
     assert found["exact_hits"] == 200 and found["recall"] > 0.8
+
+
+def test_numeric_texts(spark):
+    from lodgeframe.operators import contract as CT
+    texts = ["1", "-2.5", "+.5", "1e3", "3.", "NaN", "1d", "1f", "Infinity", "0x1", "1_000", "", "1 2", None]
+    got = [r.v for r in spark.createDataFrame([(t,) for t in texts], "t string").select(CT.number(F.col("t")).alias("v")).collect()]
+    assert got == [1.0, -2.5, 0.5, 1000.0, 3.0] + [None] * 9
+    rules = (CT.FieldRule("x", CT.FLOAT),)
+    rows = spark.createDataFrame([('{"x": "NaN"}',), ('{"x": "1d"}',), ('{"x": "1.5"}',), ('{"x": 2}',)], "payload string")
+    found = [r.violations for r in CT.with_violations(rows, rules=rules).collect()]
+    assert found == [["type:x"], ["type:x"], [], []]
+
+
+def test_nan_becomes_null(spark):
+    from lodgeframe.operators import contract as CT
+    df = spark.createDataFrame([(1.5, float("nan"), "NaN", 1), (None, 2.0, None, None)], "a double, b double, c string, d int")
+    assert [tuple(r) for r in CT.clean_for_json(df).collect()] == [(1.5, None, "NaN", 1), (None, 2.0, None, None)]
+
+
+def test_batch_bounds(spark):
+    from lodgeframe.operators import contract as CT
+    df = spark.createDataFrame([(0,), (1,), (256,), (257,), (None,)], "n_texts int")
+    assert [r.violations for r in CT.batch_bound_violations(df).collect()] == [["texts:too_few"], [], [], ["texts:too_many"], ["texts:too_few"]]
+
+
+def test_audit_misses_take_the_whole_payload(spark):
+    from lodgeframe.plans import vector_plans as VP
+    hits = spark.createDataFrame([(0, 1, 1, 0.5), (0, 2, 2, 0.4), (0, 3, 3, 0.3)], "qid long, rank int, id long, score double")
+    audit = spark.createDataFrame([(1, "audited", "good", ["good"], "de", "web")], "id long, text string, primary_label string, labels array<string>, lang string, source string")
+    payload = spark.createDataFrame([(1, "p1", "x", ["x"], "fr", "s1"), (2, "p2", "y", ["y", "z"], "fr", "s2"), (3, None, None, None, None, None)],
+                                    "id long, text string, primary_label string, labels array<string>, lang string, source string")
+    import hashlib
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    got = {r.id: (r.text_md5, r.primary, r.labels, r.lang, r.source) for r in VP._audit_join(hits, audit, payload).collect()}
+    assert got == {1: (md5("audited"), "good", "good", "de", "web"), 2: (md5("p2"), "y", "y;z", "fr", "s2"), 3: (md5(""), "unknown", "", "", "")}
+
+
+def test_reindex_job_limits(spark):
+    from lodgeframe.operators.sinks import read_upserted
+    from lodgeframe.plans import vector_plans as VP
+    from lodgeframe.session import scratch_path
+    rows = spark.createDataFrame([(i, f"text {i}", None, None, "en", None, None if i % 2 else "2024-01-01T00:00:00") for i in range(10)],
+                                 "id long, text string, primary string, labels array<string>, lang string, source string, timestamp string")
+    path = scratch_path(spark, "reindex_job")
+    assert VP.reindex_job(spark, rows, path, "2024-01-01T08:00:00", dry_run=True) == 5
+    assert VP.reindex_job(spark, rows, path, None, limit=3) == 3
+    assert sorted((r.id, r.source) for r in read_upserted(spark, path).collect()) == [(i, VP.DEFAULT_SOURCE) for i in range(3)]
+
+
+def test_agreement(spark):
+    from lodgeframe.operators import evaluate as EV
+    df = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (None, 1)], "label int, prediction int")
+    assert tuple(EV.agreement(df).first()) == (4, 2, 0.5)
