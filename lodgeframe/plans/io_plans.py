@@ -133,7 +133,8 @@ def q_manifest_verify(spark, sf_dir):
 def q_stream_daily_counts(spark, sf_dir):
     """ST2: streaming daily counts per event type; the watermark spans the table, so no row is late."""
     ev = read_table(spark, sf_dir, "events")
-    out = ST.daily_event_counts(spark, table_path(sf_dir, "events"), ev.schema, watermark=ST.span_watermark(ev, "ts"))
+    out = ST.daily_event_counts(spark, table_path(sf_dir, "events"), ev.schema, watermark=ST.span_watermark(ev, "ts"),
+                                max_files_per_trigger=None)
     return out.select("day", "event_type", "n", round_half_up("total", 4).alias("total"))
 
 

@@ -29,7 +29,7 @@ def _bounds(batch_bytes: int, batch_files: int | None) -> dict:
 
 
 def daily_event_counts(spark: SparkSession, events_path: str, schema, out_path: str | None = None,
-                       watermark: str | None = "1 day", batch_files: int | None = None,
+                       watermark: str | None = "1 day", max_files_per_trigger: int | None = 1,
                        checkpoint: str | None = None) -> DataFrame:
     """ST2: daily tumbling-window counts/sums per event type.
 
@@ -38,11 +38,12 @@ def daily_event_counts(spark: SparkSession, events_path: str, schema, out_path:
     published table.  Windows older than the watermark leave the state, and
     rows for them (later than ``watermark``) are dropped.  A watermark as long
     as the table's time span (``span_watermark``) drops no row of files in any
-    order.  Without one every window stays in the state.
+    order.  Without one every window stays in the state.  A micro-batch is
+    ``max_files_per_trigger`` files, or without that ``EVENT_BATCH_BYTES``.
     """
     out_path = out_path or scratch_path(spark, "daily_event_counts")
     checkpoint = checkpoint or scratch_path(spark, "daily_event_counts_ckpt")
-    src = file_stream(spark, events_path, schema, **_bounds(EVENT_BATCH_BYTES, batch_files))
+    src = file_stream(spark, events_path, schema, **_bounds(EVENT_BATCH_BYTES, max_files_per_trigger))
     # the session runs in UTC (session.py), so a wall-clock day is a UTC day
     instant = F.col("ts").cast("timestamp")
     timed = src.withColumn("_event_time", instant)
@@ -70,7 +71,7 @@ def span_watermark(rows: DataFrame, instant: str) -> str:
 
 def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str | None = None,
                    checkpoint: str | None = None, text_col: str = "text", key: str = "doc_id",
-                   batch_bytes: int = DOCUMENT_BATCH_BYTES, batch_files: int | None = None,
+                   batch_bytes: int = DOCUMENT_BATCH_BYTES, max_files_per_trigger: int | None = None,
                    rows_per_bucket: int = keyed.ROWS_PER_BUCKET, payload=None) -> DataFrame:
     """ST1: new documents are embedded and upserted into a vector index by id.
 
@@ -83,7 +84,7 @@ def stream_reindex(spark: SparkSession, docs_path: str, schema, index_path: str
     index_path = index_path or scratch_path(spark, "stream_index")
     checkpoint = checkpoint or scratch_path(spark, "stream_index_ckpt")
     own = own_session(spark, spark__sql__execution__arrow__maxRecordsPerBatch="512")     # whole texts
-    src = file_stream(own, docs_path, schema, **_bounds(batch_bytes, batch_files))
+    src = file_stream(own, docs_path, schema, **_bounds(batch_bytes, max_files_per_trigger))
     emb = V.embed(src.withColumnRenamed(key, "id"), text_col, keep_text=False)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
