@@ -30,6 +30,8 @@ TOP = 20
 SAMPLE = 16384
 #: share of all vectors in the visited cells; measured recall on the test tables is in the README
 PROBE = 0.7
+#: queries whose cells one task chooses
+PROBE_QUERIES = 256
 ROUNDS = 10
 #: vectors, and queries, in one task's block
 BLOCK = 8192
@@ -71,7 +73,6 @@ def visit(s1: np.ndarray, s2: np.ndarray, sizes: np.ndarray, wanted: int) -> lis
             heapq.heappush(heap, (-(s1[o1[a]] + s2[o2[b + 1]]), a, b + 1))
     return out
 
-
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """(id, v): vectors in double precision without nulls, non-finite numbers or
     all zeros, of the most common length, with an id."""
@@ -177,6 +178,8 @@ def search(vectors: DataFrame, vec_id: str, embedding: str, is_query: Column, to
     per_c1 = F.element_at(F.array(*(F.lit(int(b)) for b in blocks)), F.col("c1") + 1)
     dealt = (index.withColumn("block", F.pmod(F.xxhash64("id"), per_c1).cast("int"))
              .withColumn("set", F.explode(F.sequence(F.lit(0), F.lit(int(sets) - 1)))).select("c1", "block", "set", "id", "c2", "v"))
+    # small rows, much work each: a task for every PROBE_QUERIES of them, whatever their bytes
+    queries = queries.repartition(max(1, -(-n_queries // PROBE_QUERIES)))
     asked = (map_batches(queries, probes, "c1 int, block int, query long, c2s array<int>, least double, v array<double>")
              .withColumn("set", F.pmod(F.xxhash64("query"), F.lit(int(sets))).cast("int")))
     keys = ["c1", "block", "set"]
