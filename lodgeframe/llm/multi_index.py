@@ -73,6 +73,7 @@ def visit(s1: np.ndarray, s2: np.ndarray, sizes: np.ndarray, wanted: int) -> lis
             heapq.heappush(heap, (-(s1[o1[a]] + s2[o2[b + 1]]), a, b + 1))
     return out
 
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """(id, v): vectors in double precision without nulls, non-finite numbers or
     all zeros, of the most common length, with an id."""

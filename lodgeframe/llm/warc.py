@@ -39,6 +39,8 @@ DATE = "2024-01-01T00:00:00Z"
 
 #: byte ranges (splits) of one read at most; a row of numbers for each reaches every task
 MAX_SPLITS = 100_000
+#: revisits (about 100 bytes each) that may be broadcast to the pages
+BROADCAST_REVISITS = 200_000
 
 
 def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html",
@@ -60,6 +62,9 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     copies = (plan.where((F.col("n") >= least) & F.col("page_id").isNotNull()).groupBy("digest", "n")
               .agg(F.max("page_id").alias("response"), F.count("*").alias("m")).where("m > 1").drop("m"))
     revisits = (plan.join(copies, ["digest", "n"]).where("page_id <> response").select("page_id", "digest", "response").distinct())
+    revisits = stage(revisits, "warc-revisits")
+    if revisits.count() <= BROADCAST_REVISITS:       # else payloads are shuffled to meet them
+        revisits = F.broadcast(revisits)
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(NEWLINE))
     ref = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     is_revisit = F.col("response").isNotNull()

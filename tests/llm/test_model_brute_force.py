@@ -69,6 +69,17 @@ def test_scores_equal_plain_loops(spark):
         assert r.toxic_in_lang == (r.toxic_score >= fitted["thresholds"].get(r.lang or "", fitted["all"]))
 
 
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 2 else 'kind'} " + "word " * 50, "en") for i in range(40)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: sizes.append(len(texts)) or toxicity.initial())
+    toxicity.fit(docs, labels, "doc_id", "text", "lang", "toxic", None)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 255 * 20)
+    toxicity.fit(docs, labels, "doc_id", "text", "lang", "toxic", None)
+    assert sizes == [32, 16]                                  # four of five rows learn
+
+
 # -- quality -----------------------------------------------------------------------------
 
 

@@ -67,8 +67,9 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("split", [4000, 1 << 20])
-def test_archives_with_false_records(spark, split):
+@pytest.mark.parametrize("split, broadcast", [(4000, 0), (1 << 20, 1000)])
+def test_archives_with_false_records(spark, monkeypatch, split, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_REVISITS", broadcast)
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     big = "x" * 1200
     rows = [(1, "u", None), (2, "u", ""), (3, None, big), (4, "a\r\nb", big), (5, "u", fake), (6, "u", "\r\n\r\n\r\n" + fake * 3),
