@@ -47,3 +47,13 @@ def test_observed_without_a_finished_plan(spark):
     df = spark.range(5)
     found = Q.observed({"a": (df, [F.sum("id").alias("s")])}, lambda f: None)      # the job never ran it
     assert found == {"a": {"s": 10}}
+
+
+def test_models_score_after_a_session_has_observed(spark):
+    from lodgeframe.operators import ml as ML
+
+    Q.observed({"a": (spark.range(3), [F.sum("id").alias("s")])}, lambda f: f["a"].collect())
+    rows = spark.createDataFrame([(i, i % 2, float(i % 2) + i / 100, "xy"[i % 3 == 0]) for i in range(60)], "key long, label int, v double, c string")
+    for kind in ("logreg", "forest"):
+        _, _, scored = ML.train_and_score(rows, "label", "key", kind, True, columns=["v", "c"])
+        assert scored.count() == 12 and scored.where("score between 0 and 1").count() == 12
