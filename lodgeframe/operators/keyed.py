@@ -30,6 +30,8 @@ ROWS_PER_BUCKET = 100_000
 FAN = 8
 #: deltas move into the buckets when they hold this part of the stored rows
 DELTA_SHARE = 0.5
+#: stored bytes that one task of a compaction writes, about
+TASK_BYTES = 16 << 20
 
 _BUCKET, _SEQ, _TOP = "__bucket", "__seq", "__top"
 
@@ -194,7 +196,15 @@ def compact(spark: SparkSession, path: str, rows_per_bucket: int = ROWS_PER_BUCK
     base = _base(spark, path, entry, [str(b) for b in before])
     folder = V.new_folder(path, "base")
     dealt = _over(base, new, key).withColumn(_BUCKET, bucket_of(key, n))
-    dealt.repartition(min(len(written), 10_000), _BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{folder}")
+    # wide rows (texts, vectors): a bucket's rows are dealt to as many tasks as their bytes ask for
+    stored_in = [f"{path}/{d['folder']}" for d in deltas]
+    for b in map(str, before):
+        if entry["buckets"].get(b, [None, 0])[1]:
+            stored_in.append(f"{path}/{entry['buckets'][b][0]}/{_BUCKET}={b}")
+    size = sum(V.stored_bytes(spark, f) for f in stored_in)
+    each = max(1, -(-size // (TASK_BYTES * len(written))))
+    share = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(each))
+    dealt.repartition(min(len(written) * each, 10_000), _BUCKET, share).write.partitionBy(_BUCKET).parquet(f"{path}/{folder}")
     stored = spark.read.schema(StructType([*_schema(entry).fields, StructField(_BUCKET, IntegerType())])).parquet(f"{path}/{folder}")
     rows = {r[0]: r[1] for r in stored.groupBy(_BUCKET).count().collect()}
     used = [d["folder"] for d in deltas]

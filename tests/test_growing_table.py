@@ -136,3 +136,15 @@ def test_missing_tables_are_errors(spark):
     for read in (keyed.read, V.read_published, sinks.read_upserted):
         with pytest.raises(FileNotFoundError):
             read(spark, scratch_path(spark, "absent"))
+
+
+def test_wide_buckets_are_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "TASK_BYTES", 1 << 14)
+    path = scratch_path(spark, "wide")
+    wide = spark.range(3000).withColumn("val", F.concat_ws("", *(F.sha2(F.concat(F.col("id"), F.lit(f"-{i}")), 512) for i in range(4))))
+    keyed.upsert(spark, wide, path, rows_per_bucket=1000)
+    buckets = V.latest(spark, path)["buckets"]
+    folder = next(iter(buckets.values()))[0]
+    files = spark.read.parquet(f"{path}/{folder}").select("__bucket", F.input_file_name().alias("file")).distinct().groupBy("__bucket").count().collect()
+    assert len(buckets) == len(files) == 3 and all(r["count"] > 3 for r in files)
+    assert keyed.read(spark, path).exceptAll(wide).count() == 0 and keyed.read(spark, path).count() == 3000
