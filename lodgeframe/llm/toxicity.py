@@ -121,10 +121,9 @@ def train(texts: list[np.ndarray], labels: np.ndarray) -> dict:
     return descend(initial(), texts, labels, STEPS)
 
 
-def descend(start: dict, texts: list[np.ndarray], labels: np.ndarray, steps: int) -> dict:
-    """``start`` moved by texts and labels: Adagrad on the weighted log loss; of
-    the embedding table only the rows behind a maximum change."""
-    model = {k: v.copy() for k, v in start.items()}
+def descend(model: dict, texts: list[np.ndarray], labels: np.ndarray, steps: int) -> dict:
+    """``model`` moved, in place, by texts and labels: Adagrad on the weighted log
+    loss; of the embedding table only the rows behind a maximum change."""
     size = {k: np.full(v.shape[:1] if k == "table" else v.shape, 1e-3, np.float32) for k, v in model.items()}
     balance = np.where(labels == 1, len(labels) / max(1, 2 * labels.sum()), len(labels) / max(1, 2 * (1 - labels).sum()))
     rng = np.random.default_rng(5)
@@ -229,7 +228,7 @@ def go_on(rows: DataFrame, start: dict, n_rows: int, n_bytes: int) -> dict:
         for block in ts.blocks(group["text"].combine_chunks()):
             words, offsets = word_slots(block)
             texts += [words[offsets[i]:offsets[i + 1]] for i in range(len(block))]
-        model = descend(first.value, texts, group["label"].to_numpy().astype(np.float64), -(-len(texts) // BATCH))
+        model = descend({k: v.copy() for k, v in first.value.items()}, texts, group["label"].to_numpy().astype(np.float64), -(-len(texts) // BATCH))
         out, before = [], as_rows(first.value)
         for k, (name, after) in enumerate(as_rows(model).items()):
             move = np.rint((after - before[name]) * UNIT).astype(np.int64)
