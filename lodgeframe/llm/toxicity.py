@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, IntegralType, StringType, StructType
 
 from lodgeframe.llm import textscan as ts
 from lodgeframe.llm.common import crc_mod, fresh_names, map_batches, prepare, stage, table
@@ -30,6 +30,9 @@ from lodgeframe.llm.common import crc_mod, fresh_names, map_batches, prepare, st
 SAMPLE = (2500, 3500)
 #: bytes of their texts (16 bytes a word reach the driver); rows beyond it are left out of the sample
 SAMPLE_BYTES = 64 << 20
+#: bits for a labelled id, and most words of 64 bits, in the table that tells most rows without a label
+ID_BITS = 8
+ID_WORDS = 1 << 20
 SLOTS = 1 << 17
 DIM = 16
 PREFIXES = (4, 5, 6)
@@ -249,6 +252,21 @@ def go_on(rows: DataFrame, start: dict, n_rows: int, n_bytes: int) -> dict:
     return out
 
 
+def likely(rows: DataFrame, known: DataFrame, n_known: int) -> DataFrame:
+    """``rows`` without most of those whose ``_id`` is not in ``known``: a broadcast
+    table of bits tells them, so that their texts are not shuffled to an exact join
+    that would drop them. Rows are kept whole where the ids differ in type."""
+    kind = rows.schema["_id"].dataType
+    if kind != known.schema["_id"].dataType or not isinstance(kind, (IntegralType, StringType)):
+        return rows
+    bits = 64 * min(ID_WORDS, max(1, -(-n_known * ID_BITS // 64)))
+    bit = f"pmod(xxhash64(_id), {bits}L)"
+    word, mask = F.expr(f"{bit} div 64").alias("_word"), f"shiftleft(1L, cast({bit} % 64 as int))"
+    marks = known.select(word, F.expr(mask).alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_marks"))
+    return (rows.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.expr(f"_marks & {mask}") != 0)
+            .drop("_word", "_marks"))
+
+
 def counted_logits(rows: DataFrame, model: dict):
     """Logits (in steps), labels, languages and counts of ``rows`` (``label``, ``text``, ``lang``)."""
     weights = rows.sparkSession.sparkContext.broadcast(model)
@@ -285,8 +303,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, l
     rows = (rows.withColumn("bytes", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(upto))
             .where(F.col("bytes") <= SAMPLE_BYTES).select("label", "text", "lang", F.xxhash64("_id").alias("h")))
     got = map_batches(rows, slots_of, "label int, slots binary, lang string, h long").toArrow()
-    everything = texts_of.join(known, "_id").select(F.xxhash64("_id").alias("h"), "label", "text", "lang")
-    total, size = everything.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    # counted by ids and lengths; the texts are shuffled once, and merged at every size
+    lengths = texts_of.select("_id", F.octet_length("text").alias("n")).join(known.hint("merge"), "_id")
+    total, size = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    everything = (likely(texts_of, known, counts[0] + counts[1]).join(known.hint("merge"), "_id")
+                  .select(F.xxhash64("_id").alias("h"), "label", "text", "lang"))
     if not total:
         return {}
     texts = [np.frombuffer(x.as_py(), np.int32).reshape(-1, 1 + len(PREFIXES)) for x in got["slots"]]

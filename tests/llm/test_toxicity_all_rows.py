@@ -38,3 +38,27 @@ def test_counts_stand_for_repeated_rows():
     many = lambda x: np.repeat(x, n)
     assert np.allclose(toxicity.calibrate(z, y, 0.3, n), toxicity.calibrate(many(z), many(y), 0.3))
     assert toxicity.best_threshold(z, y, n) == toxicity.best_threshold(many(z), many(y))
+
+
+def test_only_labelled_texts_meet_the_labels(spark, monkeypatch):
+    """The texts are joined once, by merging whatever the size, without most of the rows that have no label."""
+    both = rows_beyond_the_sample(spark)
+    other = spark.range(900, 9000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.lit("en").alias("lang"))
+    docs, plans, stage = both.drop("toxic").union(other), [], toxicity.stage
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = stage(df, name)
+        assert out.count() == 900
+        return out
+
+    monkeypatch.setattr(toxicity, "stage", watched)
+    assert toxicity.score_toxicity(docs, both.select("doc_id", "toxic"), sample=(60, 120)).count() == 9000
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastHashJoin [_word" in plans[0]
+    known = both.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
+    texts = docs.select(F.col("doc_id").alias("_id"), "text")
+    left = toxicity.likely(texts, known, 900)
+    assert left.columns == ["_id", "text"] and left.join(known, "_id").count() == 900 and left.count() < 900 + 8100 / 5
+    assert toxicity.likely(texts.withColumn("_id", F.col("_id").cast("int")), known, 900).count() == 9000
+    monkeypatch.setattr(toxicity, "ID_WORDS", 1)
+    assert toxicity.likely(texts, known, 900).join(known, "_id").count() == 900
