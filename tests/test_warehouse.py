@@ -45,3 +45,29 @@ def test_calendar_rows_and_nulls(spark):
     assert sorted(map(str, got)) == sorted(map(str, [(0, None, 5.0, 5.0, 1, 30), (10, True, None, None, None, None), (10, None, 1.01, None, 3, 60),
                                                     (11, True, None, None, None, None), (11, None, 1.01, None, 3, 60)]))
     assert S.calendar_365(v.calendar_day()).count() == 3
+
+
+def test_large_views_read_once_are_not_stored(spark, monkeypatch, tmp_path):
+    """A summary over large tables writes no view and gives the rows that the stored views give."""
+    import shutil
+
+    from lodgeframe.plans import summary_plans as SP
+
+    from .conftest import SMALL
+
+    for t in ("customer", "nation", "orders", "lineitem"):
+        shutil.copyfile(f"{SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    at, stored = str(tmp_path), []
+    real = WH.materialize_view
+    monkeypatch.setattr(WH, "materialize_view", lambda spark, view, path, name, rows=None: stored.append(name) or real(spark, view, path, name, rows))
+    monkeypatch.setitem(WH.LAYOUT, "calendar_day", ("date", 50))
+    in_place = SP.q_neighbourhood_summary(spark, at).collect()
+    assert stored == [] and SP.q_validate_summary(spark, at).first().passed is not None and stored == []
+    v = StandIn(spark, at)
+    assert v.calendar_day().count() == StandIn(spark, at, once=True).calendar_day().count() and stored == ["calendar_day"]
+    assert StandIn(spark, at, once=True).stored_path("review").endswith("/review") and stored == ["calendar_day", "review"]
+    # what is stored already is read
+    assert StandIn(spark, at, once=True).calendar_day().inputFiles()[0].split("/")[-2] == "calendar_day"
+    monkeypatch.setitem(WH.LAYOUT, "calendar_day", ("date", 250_000))
+    assert SP.q_neighbourhood_summary(spark, at).collect() == in_place and len(in_place) > 0
+    assert set(stored) >= {"listing", "neighbourhood"}
